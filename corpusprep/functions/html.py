@@ -5,7 +5,7 @@ from __future__ import annotations
 from html import unescape as decode_any
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -44,22 +44,26 @@ def _decode_batch(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: t if t is None else decode_any(t))
 
 
-def drop_script_style(html: Column) -> Column:
-    return F.regexp_replace(html, SCRIPT_OR_STYLE, "")
-
-
 def drop_markup(html: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(html, COMMENT, ""), TAG, "")
+    """Script and style blocks, comments and tags removed; texts without a tag opener skip the expressions."""
+    stripped = F.regexp_replace(html, SCRIPT_OR_STYLE, "")
+    stripped = F.regexp_replace(stripped, COMMENT, "")
+    return F.when(html.contains("<"), F.regexp_replace(stripped, TAG, "")).otherwise(html)
 
 
 def decode_entities(text: Column) -> Column:
-    """Common entities by built-in replacement; only rows holding any other entity go to Python."""
+    """Common entities by built-in replacement; only rows holding any other entity go to Python.
+
+    ``text`` is read several times: pass a stored column, not a long expression.
+    """
     common = text
     for name, char in ENTITIES:
         common = F.replace(common, F.lit(f"&{name};"), F.lit(char))
-    other = text.rlike(_OTHER_ENTITY)
-    return F.when(other, _decode_batch(F.when(other, text))).otherwise(common)
+    other = _decode_batch(F.when(text.rlike(_OTHER_ENTITY), text))
+    return F.coalesce(other, F.when(text.contains("&"), common).otherwise(text))
 
 
-def html_to_text(html: Column) -> Column:
-    return decode_entities(drop_markup(drop_script_style(html)))
+def with_text(df: DataFrame, html: str, out: str) -> DataFrame:
+    """Add the text of an HTML column. The stripped form is its own projection and so is computed once."""
+    stripped = df.withColumn("_stripped", drop_markup(F.col(html)))
+    return stripped.withColumn(out, decode_entities(F.col("_stripped"))).drop("_stripped")

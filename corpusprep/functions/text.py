@@ -63,9 +63,11 @@ def blank_to_null(text: Column) -> Column:
 
 
 def unescape(text: Column) -> Column:
+    """Literal escapes to characters; texts without a back-slash skip the scans."""
+    replaced = text
     for escape, char in ESCAPES:
-        text = F.replace(text, F.lit(escape), F.lit(char))
-    return text
+        replaced = F.replace(replaced, F.lit(escape), F.lit(char))
+    return F.when(text.contains("\\"), replaced).otherwise(text)
 
 
 def nfc(text: Column) -> Column:
@@ -74,8 +76,7 @@ def nfc(text: Column) -> Column:
     Spark has no built-in for it. Only rows that may need it carry their text to Python; all others pass a null, so
     the Arrow transfer stays small on already composed corpora.
     """
-    needed = text.rlike(_MAYBE_NOT_NFC)
-    return F.when(needed, _nfc_batch(F.when(needed, text))).otherwise(text)
+    return F.coalesce(_nfc_batch(F.when(text.rlike(_MAYBE_NOT_NFC), text)), text)
 
 
 def normalize_unicode(text: Column) -> Column:
@@ -90,7 +91,7 @@ def normalize_whitespace(text: Column) -> Column:
 
     A blank run before a line feed needs no rule of its own: the first step already leaves one space there.
     """
-    text = F.regexp_replace(text, "[ \\t]+", " ")
+    text = F.regexp_replace(text, "[ \\t]{2,}|\\t", " ")
     text = F.regexp_replace(text, "\\n{3,}", "\n\n")
     return strip(text)
 

@@ -59,7 +59,9 @@ def clean_text(df: DataFrame, column: str = "text") -> DataFrame:
         df.withColumn("_t0", F.coalesce(F.col(column), F.lit("")))
         .withColumn("_t1", text.unescape(F.col("_t0")))
         .withColumn("_t2", text.normalize_unicode(F.col("_t1")))
-        .withColumn("_t3", html.html_to_text(F.col("_t2")))
+    )
+    staged = (
+        html.with_text(staged, "_t2", "_t3")
         .withColumn("_t4", F.replace(F.col("_t3"), F.lit(text.NBSP), F.lit(" ")))
         .withColumn("_t5", text.normalize_whitespace(F.col("_t4")))
     )

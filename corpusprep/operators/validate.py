@@ -15,9 +15,11 @@ from .keyed import mark_first
 # Fields that must be present, in the order they are reported.
 REQUIRED = ["filename", "source", "text", "checksum", "status", "processed_at"]
 
-_DATE = "\\d{4}-(?:\\d{2}-\\d{2}|W\\d{2}(?:-[1-7])?)|\\d{4}(?:\\d{4}|W\\d{2}[1-7]?)"
-_CLOCK = "\\d{2}(?::\\d{2}(?::\\d{2}(?:[.,]\\d+)?)?)?|\\d{4}(?:\\d{2}(?:[.,]\\d+)?)?"
-_ZONE = "Z|[+-]\\d{2}(?::?\\d{2}(?::?\\d{2}(?:\\.\\d+)?)?)?"
+_WEEK = "W(?:0[1-9]|[1-4]\\d|5[0-3])"
+_DATE = f"\\d{{4}}-(?:\\d{{2}}-\\d{{2}}|{_WEEK}(?:-[1-7])?)|\\d{{4}}(?:\\d{{4}}|{_WEEK}[1-7]?)"
+_HOUR, _SIXTY = "(?:[01]\\d|2[0-3])", "[0-5]\\d"
+_CLOCK = f"{_HOUR}(?::{_SIXTY}(?::{_SIXTY}(?:[.,]\\d+)?)?)?|{_HOUR}(?:{_SIXTY}(?:{_SIXTY}(?:[.,]\\d+)?)?)?"
+_ZONE = f"Z|[+-]{_HOUR}(?::?{_SIXTY}(?::?{_SIXTY}(?:\\.\\d+)?)?)?"
 ISO_SHAPE = f"^(?:{_DATE})(?:.(?:{_CLOCK})(?:{_ZONE})?)?$"
 
 
@@ -31,24 +33,11 @@ class Field:
 
 
 def is_iso_timestamp(value: Column) -> Column:
-    """ISO-8601 shape with a calendar date and clock that exist.
-
-    Week dates are accepted by shape; calendar dates are checked through the date parser.
-    """
+    """ISO-8601 date or date and time whose calendar date exists (week dates are accepted by shape)."""
     value = strip(value)
-    digits = F.regexp_replace(F.regexp_extract(value, "^(\\d{4}-?\\d{2}-?\\d{2})", 1), "-", "")
+    digits = F.replace(F.regexp_extract(value, "^(\\d{4}-?\\d{2}-?\\d{2})", 1), F.lit("-"), F.lit(""))
     real_date = F.when(digits == "", F.lit(True)).otherwise(F.try_to_date(digits, "yyyyMMdd").isNotNull())
-    clock = F.regexp_replace(F.regexp_extract(value, "^.*?\\d.(\\d{2}(?::?\\d{2})?(?::?\\d{2})?)[^:\\d]*.*$", 1), ":", "")
-    hour = F.substring(clock, 1, 2).try_cast("int")
-    minute = F.substring(clock, 3, 2).try_cast("int")
-    second = F.substring(clock, 5, 2).try_cast("int")
-    has_clock = F.length(value) > 10
-    real_clock = ~has_clock | (
-        (F.coalesce(hour, F.lit(0)) < 24)
-        & (F.coalesce(minute, F.lit(0)) < 60)
-        & (F.coalesce(second, F.lit(0)) < 60)
-    )
-    return F.coalesce(value.rlike(ISO_SHAPE) & real_date & real_clock, F.lit(False))
+    return F.coalesce(value.rlike(ISO_SHAPE) & real_date, F.lit(False))
 
 
 def _rules(fields: dict[str, Field], allowed: list[str], min_chars: int) -> Column:

@@ -125,7 +125,7 @@ def nfc_text(t: Tables) -> DataFrame:
     """,
 )
 def html_text(t: Tables) -> DataFrame:
-    rows = t.pages.select("page_id", html.html_to_text(F.col("html")).alias("body"))
+    rows = html.with_text(t.pages.select("page_id", "html"), "html", "body")
     body = F.replace(F.col("body"), F.lit(text.NBSP), F.lit(" "))
     rows = rows.withColumn("body", text.normalize_whitespace(body))
     return rows.select(

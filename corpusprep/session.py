@@ -20,6 +20,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "cor
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("CORPUSPREP_DRIVER_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
 
