@@ -40,12 +40,12 @@ BLANK_CLASS = (
     "\\t\\n\\x0B\\f\\r\\x1C-\\x1F \\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000"
 )
 
-# Text made only of these characters is already NFC: Latin up to U+02FF, Thai and general punctuation.
+# Texts without any of these are already NFC: Latin up to U+02FF, Thai and general punctuation compose no further.
 # Thai vowel signs and tone marks still need canonical ordering when they come in the wrong order.
-_MAYBE_NOT_NFC = (
-    "[^\\u0000-\\u02FF\\u0E00-\\u0E7F\\u2002-\\u205E]"
-    "|[\\u0E48-\\u0E4B][\\u0E38-\\u0E3A]|[\\u0E38\\u0E39]\\u0E3A"
-)
+_MAYBE_NOT_NFC = "[\\u0300-\\u0DFF\\u0E80-\\u2001\\u205F-\\x{10FFFF}]"
+_THAI_BELOW = "[\\u0E38-\\u0E3A]"
+_THAI_DISORDER = "[\\u0E48-\\u0E4B][\\u0E38-\\u0E3A]|[\\u0E38\\u0E39]\\u0E3A"
+_INVISIBLE = "[\\r\\xA0\\u200B-\\u200D]"
 
 
 @F.pandas_udf(StringType())
@@ -70,20 +70,29 @@ def unescape(text: Column) -> Column:
     return F.when(text.contains("\\"), replaced).otherwise(text)
 
 
+def maybe_not_nfc(text: Column) -> Column:
+    return text.rlike(_MAYBE_NOT_NFC) | (text.rlike(_THAI_BELOW) & text.rlike(_THAI_DISORDER))
+
+
 def nfc(text: Column) -> Column:
     """Canonical composition.
 
     Spark has no built-in for it. Only rows that may need it carry their text to Python; all others pass a null, so
     the Arrow transfer stays small on already composed corpora.
     """
-    return F.coalesce(_nfc_batch(F.when(text.rlike(_MAYBE_NOT_NFC), text)), text)
+    return F.coalesce(_nfc_batch(F.when(maybe_not_nfc(text), text)), text)
+
+
+def visible(text: Column) -> Column:
+    """No-break spaces to spaces, zero-width characters dropped, every line end a line feed."""
+    replaced = F.translate(text, NBSP + ZERO_WIDTH, " ")
+    replaced = F.replace(replaced, F.lit("\r\n"), F.lit("\n"))
+    replaced = F.replace(replaced, F.lit("\r"), F.lit("\n"))
+    return F.when(text.rlike(_INVISIBLE), replaced).otherwise(text)
 
 
 def normalize_unicode(text: Column) -> Column:
-    text = F.coalesce(nfc(text), F.lit(""))
-    text = F.translate(text, NBSP + ZERO_WIDTH, " ")
-    text = F.replace(text, F.lit("\r\n"), F.lit("\n"))
-    return F.replace(text, F.lit("\r"), F.lit("\n"))
+    return visible(F.coalesce(nfc(text), F.lit("")))
 
 
 def normalize_whitespace(text: Column) -> Column:
@@ -91,9 +100,9 @@ def normalize_whitespace(text: Column) -> Column:
 
     A blank run before a line feed needs no rule of its own: the first step already leaves one space there.
     """
-    text = F.regexp_replace(text, "[ \\t]{2,}|\\t", " ")
-    text = F.regexp_replace(text, "\\n{3,}", "\n\n")
-    return strip(text)
+    runs = text.contains("  ") | text.contains("\t")
+    text = F.when(runs, F.regexp_replace(text, "[ \\t]{2,}|\\t", " ")).otherwise(text)
+    return strip(F.regexp_replace(text, "\\n{3,}", "\n\n"))
 
 
 def checksum(text: Column) -> Column:

@@ -55,13 +55,9 @@ def clean_text(df: DataFrame, column: str = "text") -> DataFrame:
 
     Each stage is its own projection, so a stage is computed once although the next stage and the log both read it.
     """
+    staged = df.withColumn("_t0", F.coalesce(F.col(column), F.lit(""))).withColumn("_t1", text.unescape(F.col("_t0")))
     staged = (
-        df.withColumn("_t0", F.coalesce(F.col(column), F.lit("")))
-        .withColumn("_t1", text.unescape(F.col("_t0")))
-        .withColumn("_t2", text.normalize_unicode(F.col("_t1")))
-    )
-    staged = (
-        html.with_text(staged, "_t2", "_t3")
+        html.with_visible_text(staged, "_t1", "_t2", "_t3")
         .withColumn("_t4", F.replace(F.col("_t3"), F.lit(text.NBSP), F.lit(" ")))
         .withColumn("_t5", text.normalize_whitespace(F.col("_t4")))
     )

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,14 +23,16 @@ def mark_first(
     collapse before the shuffle), and the winners come back through the row's own identity, which is unique and
     therefore evenly spread. Keys that are null never win; rows outside ``eligible`` neither win nor block others.
     """
-    pool = df if eligible is None else df.filter(eligible)
-    present = pool.filter(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
+    # A condition inside the aggregate, not a filter before it: a filter on derived columns would be pushed below
+    # their projections and evaluate long text expressions a second time.
+    candidate = F.col(order) if eligible is None else F.when(eligible, F.col(order))
     winners = (
-        present.groupBy(*scope, *[k for k in keys if k not in scope])
-        .agg(F.min(order).alias(order))
+        df.groupBy(*scope, *[k for k in keys if k not in scope])
+        .agg(F.min(candidate).alias(order))
         .select(*scope, order, F.lit(True).alias(flag))
     )
-    return df.join(winners, [*scope, order], "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
+    present = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    return df.join(winners, [*scope, order], "left").withColumn(flag, F.coalesce(flag, F.lit(False)) & present)
 
 
 def salted_lookup(

@@ -75,7 +75,7 @@ def derive_filename(t: Tables) -> DataFrame:
 
 @query("clean_status", f"WITH {sql_clean()} SELECT doc_id, status, reason, checksum, char_count FROM cleaned")
 def clean_status(t: Tables) -> DataFrame:
-    return clean.clean(t.documents, CORPUS).select("doc_id", "status", "reason", "checksum", "char_count")
+    return clean.clean(t.spread("documents", "doc_id"), CORPUS).select("doc_id", "status", "reason", "checksum", "char_count")
 
 
 @query(
@@ -126,7 +126,7 @@ def faulty_records(t: Tables) -> DataFrame:
     first = F.substring("text", 1, 1)
     size = F.length("text").cast("long")
     digest = F.sha2("text", 256)
-    return t.documents.select(
+    return t.spread("documents", "doc_id").select(
         "doc_id",
         F.when(F.col("source") == "src3", " ").otherwise(F.col("source")).alias("filename"),
         F.when(first == "A", "").otherwise(F.col("source")).alias("source"),
@@ -192,7 +192,7 @@ def validate_records(t: Tables) -> DataFrame:
     """,
 )
 def run_counters(t: Tables) -> DataFrame:
-    return quality.clean_counters(clean.clean(t.documents, CORPUS), ["source"])
+    return quality.clean_counters(clean.clean(t.spread("documents", "doc_id"), CORPUS), ["source"])
 
 
 @query(
@@ -208,7 +208,7 @@ def run_counters(t: Tables) -> DataFrame:
 def reject_reasons(t: Tables) -> DataFrame:
     at = F.lit(RUN_AT)
     logs = ingest.union_logs(
-        clean.clean_log(clean.clean(t.documents, CORPUS), at, "doc_id"),
+        clean.clean_log(clean.clean(t.spread("documents", "doc_id"), CORPUS), at, "doc_id"),
         validate.validation_log(validate.validate(faulty_records(t), [], "doc_id", min_chars=12), at, "doc_id"),
     )
     cleaned_reason = F.get_json_object("details", "$.reason")
@@ -244,7 +244,7 @@ def corpus_records(t: Tables) -> DataFrame:
     """The documents as raw records: source objects by language, the document number as line number."""
     nothing = F.lit(None).cast("string")
     path = F.concat(F.lit("raw/corpus/"), F.col("lang"), F.lit("/jsonl/"), F.col("source"), F.lit(".jsonl"))
-    return t.documents.select(
+    return t.spread("documents", "doc_id").select(
         path.alias("file_path"),
         F.col("doc_id").alias("line_no"),
         "text",

@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import pin_utc
+from ..session import pin_utc, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +32,10 @@ class Tables:
             df = df.withColumn("ts", df["ts"].cast("timestamp"))
         return df
 
+    def spread(self, name: str, key: str) -> DataFrame:
+        """A table for text-heavy work: at least one partition per core."""
+        return spread(getattr(self, name), key)
+
 
 def query(name: str, sql: str | None = None):
     """Register a function of :class:`Tables` under ``name``."""

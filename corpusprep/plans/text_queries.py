@@ -72,7 +72,7 @@ def dirty_documents(t: Tables) -> DataFrame:
         "\\r\\n\\n\\t tail\\u00A0\\u200B  end \r\n\r" + chr(160) + chr(8203) + "\t\t\n\n\n\n  x\n\t"
     )
     dirty = F.concat(F.lit(chr(12288) + " "), F.col("text"), F.lit(tail))
-    return t.documents.select("doc_id", dirty.alias("text"))
+    return t.spread("documents", "doc_id").select("doc_id", dirty.alias("text"))
 
 
 @query(
@@ -107,7 +107,7 @@ def nfc_text(t: Tables) -> DataFrame:
     raw = F.col("text")
     for char, base, mark in (("é", "e", 769), ("ü", "u", 776), ("ñ", "n", 771)):
         raw = F.replace(raw, F.lit(char), F.lit(base + chr(mark)))
-    rows = t.documents.select("doc_id", raw.alias("raw")).withColumn("nfc", text.nfc(F.col("raw")))
+    rows = t.spread("documents", "doc_id").select("doc_id", raw.alias("raw")).withColumn("nfc", text.nfc(F.col("raw")))
     return rows.select(
         "doc_id",
         text.checksum(F.col("nfc")).alias("checksum"),
@@ -125,7 +125,7 @@ def nfc_text(t: Tables) -> DataFrame:
     """,
 )
 def html_text(t: Tables) -> DataFrame:
-    rows = html.with_text(t.pages.select("page_id", "html"), "html", "body")
+    rows = html.with_text(t.spread("pages", "page_id").select("page_id", "html"), "html", "body")
     body = F.replace(F.col("body"), F.lit(text.NBSP), F.lit(" "))
     rows = rows.withColumn("body", text.normalize_whitespace(body))
     return rows.select(
@@ -143,7 +143,7 @@ def html_text(t: Tables) -> DataFrame:
 )
 def script_ratio(t: Tables) -> DataFrame:
     body = F.col("text")
-    return t.documents.select(
+    return t.spread("documents", "doc_id").select(
         "doc_id",
         text.script_chars(body, LATIN).cast("long").alias("latin_chars"),
         text.script_ratio(body, LATIN).alias("latin_ratio"),
@@ -177,7 +177,7 @@ def checksum(t: Tables) -> DataFrame:
 )
 def text_stats(t: Tables) -> DataFrame:
     body = F.col("text")
-    return t.documents.select(
+    return t.spread("documents", "doc_id").select(
         "doc_id", text.word_count(body).alias("word_count"), text.char_count(body).alias("char_count")
     )
 
@@ -215,7 +215,7 @@ def extract_urls(t: Tables) -> DataFrame:
         path,
         F.lit(".”"),
     )
-    rows = t.documents.select("doc_id", links.extract_urls(linked).alias("urls"))
+    rows = t.spread("documents", "doc_id").select("doc_id", links.extract_urls(linked).alias("urls"))
     return rows.select(
         "doc_id", F.size("urls").cast("long").alias("n_links"), F.array_join("urls", " ").alias("links")
     )
@@ -273,7 +273,7 @@ def truncate_tokens(t: Tables) -> DataFrame:
     body = F.col("text")
     tokens = F.size(F.split(text.strip(body), f"[{text.BLANK_CLASS}]+"))
     cut = text.cut_to_budget(body, text.token_budget())
-    return t.documents.select("doc_id", tokens.cast("long").alias("n_tokens"), text.checksum(cut).alias("checksum"))
+    return t.spread("documents", "doc_id").select("doc_id", tokens.cast("long").alias("n_tokens"), text.checksum(cut).alias("checksum"))
 
 
 @query(

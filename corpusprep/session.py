@@ -56,3 +56,12 @@ def materialize(df: DataFrame) -> DataFrame:
     """Store an intermediate result reliably, cutting its lineage."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Repartition an input that has fewer splits than the cluster has cores, for work heavy on the processor.
+
+    A large table has more splits than cores and is left as it is: no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
