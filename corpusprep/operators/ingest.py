@@ -90,9 +90,9 @@ def upsert_columns(
     greatest: list[str] = (),
     seq: str = "seq",
 ) -> DataFrame:
-    """Keyed merge with a rule per column; ``seq`` orders the batch (greater is newer), table rows are oldest.
+    """Keyed merge with a rule per column; ``seq`` orders the batch (greater is newer).
 
-    One aggregation with map-side combine: repeated keys collapse before the shuffle.
+    Table rows count as oldest. One aggregation with map-side combine: repeated keys collapse before the shuffle.
     """
     rows = existing.withColumn(seq, F.lit(-1).cast("long")).unionByName(batch.withColumn(seq, F.col(seq).cast("long")))
     rules = [F.max_by(c, seq).alias(c) for c in newest]
@@ -111,6 +111,24 @@ def upsert_labels(existing: DataFrame, batch: DataFrame, seq: str = "seq") -> Da
     )
 
 
+def merge_labels(existing: DataFrame, batch: DataFrame) -> DataFrame:
+    """:func:`upsert_labels` for a table that keeps the order of its rows.
+
+    ``seq`` is the newest row merged so far and ``first_seq`` the oldest, so partial merges in any order give the
+    result of one merge over everything.
+    """
+    rows = existing.unionByName(batch)
+    merged = rows.groupBy("target_id", "label_type").agg(
+        F.max_by("label_value", "seq").alias("label_value"),
+        F.max_by("created_at", "seq").alias("created_at"),
+        F.min_by("annotator", "first_seq").alias("annotator"),
+        F.max("confidence").alias("confidence"),
+        F.max("seq").alias("seq"),
+        F.min("first_seq").alias("first_seq"),
+    )
+    return merged.select(*existing.columns)
+
+
 def upsert_logs(existing: DataFrame, batch: DataFrame, seq: str = "seq") -> DataFrame:
     return upsert_columns(
         existing,

@@ -71,15 +71,20 @@ def label_texts(df: DataFrame, scores: Callable[[Column], Column], max_positions
     return df.withColumn("_best", best).select(*df.columns, "_best.label", "_best.confidence")
 
 
-def lookup_labels(
-    labelled: DataFrame, documents: DataFrame, annotator: str, label_type: str = "sentiment"
-) -> tuple[DataFrame, DataFrame]:
-    """Label rows for known checksums, and per checksum the number of records that found no document.
+def join_labels(labelled: DataFrame, documents: DataFrame) -> DataFrame:
+    """Labels per checksum with the number of their records and the document's id, null for a miss.
 
     Copies of one text carry one label, so they are counted per checksum before the join.
     """
     per_text = labelled.groupBy("checksum", "label", "confidence").agg(F.count("*").alias("n_records"))
-    joined = per_text.join(documents.select("checksum", F.col("id").alias("target_id")), "checksum", "left")
+    return per_text.join(documents.select("checksum", F.col("id").alias("target_id")), "checksum", "left")
+
+
+def lookup_labels(
+    labelled: DataFrame, documents: DataFrame, annotator: str, label_type: str = "sentiment"
+) -> tuple[DataFrame, DataFrame]:
+    """Label rows for known checksums, and per unknown checksum the number of records that found no document."""
+    joined = join_labels(labelled, documents)
     rows = joined.filter("target_id IS NOT NULL").select(
         "target_id",
         F.lit(label_type).alias("label_type"),
