@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
@@ -12,6 +13,9 @@ from pyspark.sql import functions as F
 from ..functions.text import cut_to_budget, round_half_even, token_budget
 
 Scorer = Callable[[list[str]], list[dict[str, float]]]
+# Adds a column of class scores: frame, text column, new column.
+Scores = Callable[[DataFrame, str, str], DataFrame]
+MARKER = "\u0001"
 SCORES = "array<struct<label: string, score: double>>"
 
 
@@ -24,21 +28,33 @@ class Lexicon:
     labels: tuple[str, str, str] = field(default=("positive", "neutral", "negative"))
 
 
-def lexicon_scores(text: Column, lexicon: Lexicon) -> Column:
-    """Class scores from word counts, built-in expressions only."""
-    words = F.split(F.lower(text), "[^\\p{L}\\p{M}]+")
+def lexicon_scores(lexicon: Lexicon) -> Scores:
+    """Class scores from word counts, built-in expressions only.
 
-    def hits(chosen: tuple[str, ...]) -> Column:
-        return F.size(F.filter(words, lambda w: w.isin(list(chosen))))
+    A hit becomes one marker character, so counting is a difference of lengths: no word list is built per row.
+    """
+
+    def hits(text: Column, chosen: tuple[str, ...]) -> Column:
+        words = "|".join(re.escape(w) for w in chosen)
+        marked = F.regexp_replace(text, f"(?<![\\p{{L}}\\p{{M}}])(?:{words})(?![\\p{{L}}\\p{{M}}])", MARKER)
+        return F.length(F.regexp_replace(marked, f"[^{MARKER}]+", ""))
+
+    def add(df: DataFrame, text: str, out: str) -> DataFrame:
+        counted = (
+            df.withColumn("_plain", F.lower(F.replace(F.col(text), F.lit(MARKER), F.lit(" "))))
+            .withColumn("_for", hits(F.col("_plain"), lexicon.positive) + 1)
+            .withColumn("_against", hits(F.col("_plain"), lexicon.negative) + 1)
+        )
+        total = F.col("_for") + F.col("_against") + 1
+        parts = zip(lexicon.labels, (F.col("_for"), F.lit(1), F.col("_against")))
+        scores = [F.struct(F.lit(n).alias("label"), (s / total).alias("score")) for n, s in parts]
+        return counted.withColumn(out, F.array(*scores)).drop("_plain", "_for", "_against")
 
-    positive, negative = hits(lexicon.positive) + 1, hits(lexicon.negative) + 1
-    total = positive + negative + 1
-    parts = zip(lexicon.labels, (positive, F.lit(1), negative))
-    return F.array(*[F.struct(F.lit(n).alias("label"), (s / total).alias("score")) for n, s in parts])
+    return add
 
 
-def scorer_udf(make_scorer: Callable[[], Scorer], batch: int = 16):
-    """Arrow UDF around a scorer. ``make_scorer`` runs once per task, so a model is loaded once per task."""
+def model_scores(make_scorer: Callable[[], Scorer], batch: int = 16) -> Scores:
+    """Scores from a Python scorer through Arrow. ``make_scorer`` runs once per task: so is a model loaded."""
 
     @F.pandas_udf(SCORES)
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -51,7 +67,7 @@ def scorer_udf(make_scorer: Callable[[], Scorer], batch: int = 16):
                     out.append([{"label": k, "score": float(v)} for k, v in classes.items()])
             yield pd.Series(out)
 
-    return score
+    return lambda df, text, out: df.withColumn(out, score(F.col(text)))
 
 
 def best_of(scores: Column) -> Column:
@@ -63,12 +79,12 @@ def best_of(scores: Column) -> Column:
     return F.struct(top["label"].alias("label"), round_half_even(top["score"] * 100, 2).alias("confidence"))
 
 
-def label_texts(df: DataFrame, scores: Callable[[Column], Column], max_positions: int = 512) -> DataFrame:
+def label_texts(df: DataFrame, add_scores: Scores, max_positions: int = 512) -> DataFrame:
     """Add ``label`` and ``confidence``. The scorer sees the text cut to its token budget; the checksum stays that of
     the whole text."""
-    model_text = cut_to_budget(F.col("text"), token_budget(max_positions))
-    best = best_of(scores(model_text))
-    return df.withColumn("_best", best).select(*df.columns, "_best.label", "_best.confidence")
+    cut = df.withColumn("_cut", cut_to_budget(F.col("text"), token_budget(max_positions)))
+    scored = add_scores(cut, "_cut", "_scores").withColumn("_best", best_of(F.col("_scores")))
+    return scored.select(*df.columns, "_best.label", "_best.confidence")
 
 
 def join_labels(labelled: DataFrame, documents: DataFrame) -> DataFrame:

@@ -17,9 +17,10 @@ def gram_counts(df: DataFrame, by: str, text: str) -> DataFrame:
     Grams of a row are counted inside its task first, so the shuffle carries distinct grams, not characters.
     """
     letters = F.concat(F.lit(" "), F.regexp_replace(F.lower(F.col(text)), "[^\\p{L}\\p{M}]+", " "), F.lit(" "))
-    padded = df.select(by, F.regexp_replace(letters, " +", " ").alias("_p"))
-    grams = F.expr(f"transform(sequence(1, greatest(length(_p) - {SIZE - 1}, 1)), i -> substr(_p, i, {SIZE}))")
-    exploded = padded.select(by, F.explode(grams).alias("gram")).filter(F.length("gram") == SIZE)
+    padded = F.regexp_replace(letters, " +", " ")
+    # A look-ahead matches at every position, so one pass over the text lists all overlapping grams.
+    grams = F.regexp_extract_all(padded, F.lit("(?=(" + "." * SIZE + "))"), F.lit(1))
+    exploded = df.select(by, F.explode(grams).alias("gram"))
     return exploded.groupBy(by, "gram").agg(F.count("*").alias("n"))
 
 

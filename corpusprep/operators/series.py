@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .keyed import salted_lookup
-from .timeline import DAY, HOUR, islands, over_trailing, time_bucket, with_previous
+from .timeline import MICROS, carry_last, cut, islands, trailing_sum, with_previous
 
 
 def select_labels(df: DataFrame, equal: dict[str, str] | None = None, matching: dict[str, str] | None = None) -> DataFrame:
@@ -24,7 +24,7 @@ def newest_at(df: DataFrame, keys: list[str], ts: str, value: str, at: Column, l
     """The newest sample of every series at a time, optionally not older than ``lookback`` seconds."""
     known = df.filter(F.col(ts) <= at)
     if lookback:
-        known = known.filter(F.unix_micros(F.col(ts)) > F.unix_micros(at) - lookback * 1_000_000)
+        known = known.filter(F.unix_micros(F.col(ts)) > F.unix_micros(at) - lookback * MICROS)
     return known.groupBy(*keys).agg(F.max(ts).alias(ts), F.max_by(value, ts).alias(value))
 
 
@@ -32,18 +32,17 @@ def in_range(df: DataFrame, keys: list[str], ts: str, start: Column, end: Column
     return df.filter(F.col(ts).between(start, end)).orderBy(*keys, ts)
 
 
-def counter_deltas(df: DataFrame, keys: list[str], ts: str, value: str, bucket_seconds: int = DAY) -> DataFrame:
+def counter_deltas(df: DataFrame, keys: list[str], ts: str, value: str) -> DataFrame:
     """Add ``delta``, the growth since the sample before; after a reset the new value is the growth."""
-    rows = with_previous(df, keys, [ts], {"_previous": value}, time_bucket(ts, bucket_seconds))
+    rows = with_previous(cut(df, keys, [ts]), keys, [ts], {"_previous": value})
     grown = F.col(value) - F.col("_previous")
     delta = F.when(grown < 0, F.col(value)).otherwise(grown)
-    return rows.withColumn("delta", F.coalesce(delta, F.lit(0.0))).drop("_previous")
+    return rows.withColumn("delta", F.coalesce(delta, F.lit(0.0))).drop("_previous", "_bucket")
 
 
 def counter_rate(df: DataFrame, keys: list[str], ts: str, value: str, seconds: int) -> DataFrame:
     """Add ``per_second``: growth over the trailing window divided by its length."""
-    deltas = counter_deltas(df, keys, ts, value)
-    summed = over_trailing(deltas, keys, ts, seconds, {"_growth": F.sum("delta")})
+    summed = trailing_sum(counter_deltas(df, keys, ts, value), keys, ts, "delta", seconds, "_growth")
     return summed.withColumn("per_second", F.col("_growth") / F.lit(seconds)).drop("_growth", "delta")
 
 
@@ -54,46 +53,46 @@ def counter_increase(df: DataFrame, keys: list[str], ts: str, value: str, unit:
 
 
 def last_over_time(df: DataFrame, keys: list[str], ts: str, value: str, seconds: int, out: str = "last") -> DataFrame:
-    """Add the newest value that is not null in the trailing window."""
-    return over_trailing(df, keys, ts, seconds, {out: F.last(value, ignorenulls=True)})
+    """Add the newest value that is not null, if its sample lies in the trailing window."""
+    stamped = F.when(F.col(value).isNotNull(), F.struct(F.unix_micros(ts).alias("at"), F.col(value).alias("value")))
+    rows = cut(df.withColumn("_stamped", stamped), keys, [ts])
+    carried = carry_last(rows, keys, [ts], "_stamped", "_newest")
+    fresh = F.col("_newest.at") > F.unix_micros(ts) - seconds * MICROS
+    return carried.withColumn(out, F.when(fresh, F.col("_newest.value"))).select(*df.columns, out)
 
 
 def silences(
-    df: DataFrame, keys: list[str], order: list[str], ts: str, seconds: int, bucket_seconds: int = HOUR, until: Column | None = None
+    df: DataFrame, keys: list[str], order: list[str], ts: str, seconds: int, until: Column | None = None
 ) -> DataFrame:
     """Gaps longer than ``seconds`` between neighbouring samples of a series.
 
     ``until`` also reports series that have been silent since their last sample.
     """
-    rows = with_previous(df, keys, order, {"gap_start": ts}, time_bucket(ts, bucket_seconds))
+    narrow = df.select(*dict.fromkeys([*keys, *order, ts]))
+    rows = with_previous(cut(narrow, keys, order), keys, order, {"gap_start": ts})
     gaps = rows.select(*keys, "gap_start", F.col(ts).alias("gap_end"))
     if until is not None:
         ends = df.groupBy(*keys).agg(F.max(ts).alias("gap_start")).withColumn("gap_end", until)
         gaps = gaps.unionByName(ends)
     length = (F.unix_micros("gap_end") - F.unix_micros("gap_start")).alias("gap_micros")
-    return gaps.select("*", length).filter(F.col("gap_micros") > seconds * 1_000_000)
+    return gaps.select("*", length).filter(F.col("gap_micros") > seconds * MICROS)
 
 
-def state_spans(
-    df: DataFrame, keys: list[str], order: list[str], ts: str, state: str, bucket_seconds: int = DAY
-) -> DataFrame:
+def state_spans(df: DataFrame, keys: list[str], order: list[str], ts: str, state: str) -> DataFrame:
     """Equal consecutive states merged into one span with its first and last time and number of samples."""
-    bucket = time_bucket(ts, bucket_seconds)
+    narrow = df.select(*dict.fromkeys([*keys, *order, ts, state]))
     starts = ~F.col("_state").eqNullSafe(F.col(state)) | F.col("_ts").isNull()
-    runs = islands(df, keys, order, starts, {"_state": state, "_ts": ts}, bucket)
+    runs = islands(cut(narrow, keys, order), keys, order, starts, {"_state": state, "_ts": ts})
     return runs.groupBy(*keys, "island", state).agg(
         F.min(ts).alias("span_start"), F.max(ts).alias("span_end"), F.count("*").alias("n_samples")
     )
 
 
-def quiet_batches(
-    df: DataFrame, keys: list[str], order: list[str], ts: str, quiet_seconds: int, bucket_seconds: int = HOUR
-) -> DataFrame:
+def quiet_batches(df: DataFrame, keys: list[str], order: list[str], ts: str, quiet_seconds: int) -> DataFrame:
     """Arrivals grouped into batches that end when nothing arrives for ``quiet_seconds``."""
+    narrow = df.select(*dict.fromkeys([*keys, *order, ts]))
     gap = F.unix_micros(ts) - F.unix_micros("_ts")
-    runs = islands(
-        df, keys, order, gap >= quiet_seconds * 1_000_000, {"_ts": ts}, time_bucket(ts, bucket_seconds)
-    )
+    runs = islands(cut(narrow, keys, order), keys, order, gap >= quiet_seconds * MICROS, {"_ts": ts})
     return runs.groupBy(*keys, "island").agg(
         F.min(ts).alias("first_arrival"), F.max(ts).alias("last_arrival"), F.count("*").alias("n_objects")
     )

@@ -1,8 +1,12 @@
-"""Ordered computations per series that split a series by time.
+"""Ordered computations per series that never sort a whole series in one task.
 
-A plain window over a series sorts the whole series in one task. Here a series is cut into buckets of time; each
-bucket is one window partition, and what a bucket needs from earlier ones comes from a small table with one row per
-series and bucket. ``bucket`` is a whole number that never falls as the order rises.
+A plain window over a series puts the series, however long, into one task. Here :func:`cut` first splits all rows into
+ranges of (series, order) of about equal size; the range number is the row's bucket. Each bucket of a series is one
+window partition, and what it needs from earlier rows comes from a small table with one row per series and bucket. A
+hot series, or a burst within one second, is spread over as many buckets as its rows fill.
+
+All frames used are "everything before" or "the row before", which Spark updates row by row; sliding frames would be
+summed anew for every row. ``order`` has to be unique inside a series.
 """
 
 from __future__ import annotations
@@ -10,73 +14,89 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 HOUR = 3600
 DAY = 24 * HOUR
 MICROS = 1_000_000
 
 
-def micros(ts: str) -> Column:
-    return F.unix_micros(F.col(ts))
+def cut(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Add ``_bucket``, which never falls as the order rises inside a series.
+
+    Range boundaries come from a sample and could differ when computed twice, so the result is stored.
+    """
+    ranged = df.repartitionByRange(*keys, *order)
+    return materialize(ranged.withColumn("_bucket", F.spark_partition_id()))
+
+
+def _inside(keys: list[str], order: list[str]):
+    return Window.partitionBy(*keys, "_bucket").orderBy(*order)
 
 
-def time_bucket(ts: str, seconds: int) -> Column:
-    return F.floor(micros(ts) / (seconds * MICROS)).cast("long")
+def _across(keys: list[str]):
+    return Window.partitionBy(*keys).orderBy("_bucket")
 
 
-def with_previous(df: DataFrame, keys: list[str], order: list[str], values: dict[str, str], bucket: Column) -> DataFrame:
+def with_previous(rows: DataFrame, keys: list[str], order: list[str], values: dict[str, str]) -> DataFrame:
     """Add for every ``new: column`` in ``values`` the column's value in the row before (null in the first row)."""
-    parts = F.struct(*[F.col(column).alias(new) for new, column in values.items()])
-    rows = df.withColumn("_bucket", bucket).withColumn("_now", parts)
-    last = rows.groupBy(*keys, "_bucket").agg(F.max_by("_now", F.struct(*order)).alias("_last"))
-    by_bucket = Window.partitionBy(*keys).orderBy("_bucket")
-    carried = last.select(*keys, "_bucket", F.lag("_last").over(by_bucket).alias("_carried"))
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(*order)
-    joined = rows.join(carried, [*keys, "_bucket"])
-    joined = joined.withColumn("_before", F.coalesce(F.lag("_now").over(inside), F.col("_carried")))
-    return joined.select(*df.columns, *[F.col(f"_before.{new}").alias(new) for new in values])
-
-
-def running_total(
-    df: DataFrame, keys: list[str], order: list[str], value: str, out: str, bucket: Column
-) -> DataFrame:
+    now = rows.withColumn("_now", F.struct(*[F.col(column).alias(new) for new, column in values.items()]))
+    last = now.groupBy(*keys, "_bucket").agg(F.max_by("_now", F.struct(*order)).alias("_last"))
+    carried = last.select(*keys, "_bucket", F.lag("_last").over(_across(keys)).alias("_carried"))
+    joined = now.join(carried, [*keys, "_bucket"])
+    before = F.coalesce(F.lag("_now").over(_inside(keys, order)), F.col("_carried"))
+    return joined.withColumn("_before", before).select(
+        *rows.columns, *[F.col(f"_before.{new}").alias(new) for new in values]
+    )
+
+
+def running_total(rows: DataFrame, keys: list[str], order: list[str], value: str, out: str) -> DataFrame:
     """Add the sum of ``value`` over all rows up to and including the current one."""
-    rows = df.withColumn("_bucket", bucket)
     sums = rows.groupBy(*keys, "_bucket").agg(F.sum(value).alias("_sum"))
-    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = _across(keys).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(*keys, "_bucket", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    upto = _inside(keys, order).rowsBetween(Window.unboundedPreceding, 0)
     joined = rows.join(offsets, [*keys, "_bucket"])
-    return joined.withColumn(out, F.sum(value).over(inside) + F.col("_offset")).select(*df.columns, out)
+    return joined.withColumn(out, F.sum(value).over(upto) + F.col("_offset")).select(*rows.columns, out)
 
 
-def over_trailing(df: DataFrame, keys: list[str], ts: str, seconds: int, out: dict[str, Column]) -> DataFrame:
-    """Aggregates over the samples with time in (t - seconds, t] for every sample.
+def carry_last(rows: DataFrame, keys: list[str], order: list[str], value: str, out: str) -> DataFrame:
+    """Add the newest ``value`` that is not null among all rows up to and including the current one."""
+    present = F.when(F.col(value).isNotNull(), F.struct(*order))
+    last = rows.groupBy(*keys, "_bucket").agg(F.max_by(value, present).alias("_last"))
+    earlier = _across(keys).rowsBetween(Window.unboundedPreceding, -1)
+    carried = last.select(*keys, "_bucket", F.last("_last", ignorenulls=True).over(earlier).alias("_carried"))
+    upto = _inside(keys, order).rowsBetween(Window.unboundedPreceding, 0)
+    newest = F.coalesce(F.last(value, ignorenulls=True).over(upto), F.col("_carried"))
+    return rows.join(carried, [*keys, "_bucket"]).withColumn(out, newest).select(*rows.columns, out)
 
-    A bucket spans several window lengths and also receives the tail of the bucket before it, so every frame lies in
-    one bucket; the borrowed rows are dropped at the end.
+
+def trailing_sum(df: DataFrame, keys: list[str], ts: str, value: str, seconds: int, out: str) -> DataFrame:
+    """Add the sum of ``value`` over the samples with time in (t - seconds, t] for every sample.
+
+    It is the total at t less the total at t - seconds. Each sample also asks for the latter: samples and questions
+    are put in one order, and every question takes the total of the newest sample at or before it. One sample per
+    series and time is assumed.
     """
-    width = seconds * MICROS
-    span = 8 * width
-    at = micros(ts)
-    own = F.floor(at / span).cast("long")
-    reaches_next = at > (own + 1) * span - width
-    copies = F.array_compact(
-        F.array(
-            F.struct(own.alias("bucket"), F.lit(True).alias("own")),
-            F.when(reaches_next, F.struct((own + 1).alias("bucket"), F.lit(False).alias("own"))),
-        )
+    totals = running_total(cut(df, keys, [ts]), keys, [ts], value, "_total").drop("_bucket")
+    at = F.unix_micros(ts)
+    roles = F.array(
+        F.struct(at.alias("at"), F.lit(0).alias("asks")),
+        F.struct((at - seconds * MICROS).alias("at"), F.lit(1).alias("asks")),
+    )
+    both = totals.withColumn("_role", F.explode(roles)).select(
+        "*",
+        F.col("_role.at").alias("_at"),
+        F.col("_role.asks").alias("_asks"),
+        F.when(F.col("_role.asks") == 0, F.col("_total")).alias("_known"),
     )
-    rows = df.withColumn("_at", at).withColumn("_copy", F.explode(copies))
-    rows = rows.select(*df.columns, "_at", F.col("_copy.bucket").alias("_bucket"), F.col("_copy.own").alias("_own"))
-    frame = Window.partitionBy(*keys, "_bucket").orderBy("_at").rangeBetween(-(width - 1), 0)
-    framed = rows.select(*df.columns, "_own", *[value.over(frame).alias(name) for name, value in out.items()])
-    return framed.filter("_own").drop("_own")
+    order = ["_at", "_asks", ts]
+    answered = carry_last(cut(both.drop("_role"), keys, order), keys, order, "_known", "_base").filter("_asks = 1")
+    return answered.withColumn(out, F.col("_total") - F.coalesce("_base", F.lit(0))).select(*df.columns, out)
 
 
-def islands(
-    df: DataFrame, keys: list[str], order: list[str], starts_new: Column, previous: dict[str, str], bucket: Column
-) -> DataFrame:
+def islands(rows: DataFrame, keys: list[str], order: list[str], starts_new: Column, previous: dict[str, str]) -> DataFrame:
     """Add ``island``, the number of the run a row belongs to; ``starts_new`` may read the ``previous`` columns."""
-    marked = with_previous(df, keys, order, previous, bucket)
+    marked = with_previous(rows, keys, order, previous)
     marked = marked.withColumn("_starts", F.coalesce(starts_new, F.lit(True)).cast("long"))
-    return running_total(marked, keys, order, "_starts", "island", bucket).drop("_starts")
+    return running_total(marked, keys, order, "_starts", "island").drop("_starts")

@@ -38,7 +38,7 @@ SQL_LABELLED = f"""
 
 @query("lexicon_label", f"WITH {SQL_LABELLED} SELECT doc_id, label, confidence FROM labelled")
 def lexicon_label(t: Tables) -> DataFrame:
-    scored = labels.label_texts(t.spread("documents", "doc_id"), lambda c: labels.lexicon_scores(c, LEXICON))
+    scored = labels.label_texts(t.spread("documents", "doc_id"), labels.lexicon_scores(LEXICON))
     return scored.select("doc_id", "label", "confidence")
 
 
@@ -64,7 +64,7 @@ def make_lexicon_scorer() -> labels.Scorer:
 @query("model_label", f"WITH {SQL_LABELLED} SELECT doc_id, label, confidence FROM labelled")
 def model_label(t: Tables) -> DataFrame:
     """The same labels through the batched Python scorer."""
-    scored = labels.label_texts(t.spread("documents", "doc_id"), labels.scorer_udf(make_lexicon_scorer))
+    scored = labels.label_texts(t.spread("documents", "doc_id"), labels.model_scores(make_lexicon_scorer))
     return scored.select("doc_id", "label", "confidence")
 
 
@@ -83,7 +83,7 @@ def model_label(t: Tables) -> DataFrame:
 def label_lookup(t: Tables) -> DataFrame:
     """Labels of all texts against the loaded documents: rows for known texts, and the misses."""
     docs = t.spread("documents", "doc_id").select("doc_id", "text", text.checksum(F.col("text")).alias("checksum"))
-    scored = labels.label_texts(docs, lambda c: labels.lexicon_scores(c, LEXICON))
+    scored = labels.label_texts(docs, labels.lexicon_scores(LEXICON))
     return labels.join_labels(scored, loaded_documents(t)).select(
         "checksum",
         "target_id",
@@ -107,7 +107,7 @@ def label_lookup(t: Tables) -> DataFrame:
 )
 def label_rows(t: Tables) -> DataFrame:
     docs = t.spread("documents", "doc_id").select("doc_id", "text", text.checksum(F.col("text")).alias("checksum"))
-    scored = labels.label_texts(docs, lambda c: labels.lexicon_scores(c, LEXICON))
+    scored = labels.label_texts(docs, labels.lexicon_scores(LEXICON))
     rows, _ = labels.lookup_labels(scored, loaded_documents(t), ANNOTATOR)
     return rows
 

@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators import series
 from ..operators.keyed import outer_merge
 from ..operators.metric_rules import rewrite_names
-from ..operators.timeline import running_total, time_bucket
+from ..operators.timeline import DAY, HOUR
 from ..streaming import windows
 from .registry import Tables, query
 
 STAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 SQL_STAMP = "%Y-%m-%dT%H:%M:%S.%f"
-DAY, HOUR = 86_400, 3_600
 
 
 def stamp(column: str):
@@ -29,9 +28,9 @@ def hourly(t: Tables) -> DataFrame:
 
 def counters(t: Tables) -> DataFrame:
     """A counter per event type, one sample per hour; it starts again from zero every day."""
-    counts = hourly(t).withColumn("day", F.date_trunc("day", "ts"))
-    total = running_total(counts, ["event_type", "day"], ["ts"], "n", "value", time_bucket("ts", DAY))
-    return total.select("event_type", "ts", F.col("value").cast("double").alias("value"))
+    day = Window.partitionBy("event_type", F.date_trunc("day", "ts")).orderBy("ts")
+    total = F.sum("n").over(day.rowsBetween(Window.unboundedPreceding, 0))
+    return hourly(t).select("event_type", "ts", total.cast("double").alias("value"))
 
 
 SQL_COUNTERS = """
