@@ -44,15 +44,13 @@ def identify(df: DataFrame, row_id: str, text: str, profiles: DataFrame, top: in
     with any profile, get ``und``.
     """
     document = ranked(gram_counts(df, row_id, text), row_id, top)
-    sizes = document.groupBy(row_id).agg(F.count("*").alias("_grams"))
     gain = F.lit(top) - F.abs(F.col("rank") - F.col("lang_rank"))
-    shared = measured_lookup(document, profiles, ["gram"], [row_id], "inner")
-    gains = shared.groupBy(row_id, "lang").agg(F.sum(gain).alias("_gain"))
-    best = gains.groupBy(row_id).agg(
-        F.max(F.struct(F.col("_gain"), F.col("lang"))).alias("_top")
-    )
-    scored = df.select(row_id).join(sizes, row_id, "left").join(best, row_id, "left")
+    # A left join keeps unmatched grams: a text's highest rank is its number of grams, so one pass gives both sums.
+    shared = measured_lookup(document, profiles, ["gram"], [row_id])
+    per_language = shared.groupBy(row_id, "lang").agg(F.sum(gain).alias("_gain"), F.max("rank").alias("_rank"))
+    known = F.when(F.col("lang").isNotNull(), F.struct(F.col("_gain"), F.col("lang")))
+    per_text = per_language.groupBy(row_id).agg(F.max("_rank").alias("_grams"), F.max(known).alias("_top"))
     distance = F.lit(top) * F.col("_grams") - F.col("_top._gain")
-    return scored.select(
-        row_id, F.coalesce("_top.lang", F.lit("und")).alias("language"), distance.alias("distance")
+    return df.select(row_id).join(per_text, row_id, "left").select(
+        row_id, F.coalesce("_top.lang", F.lit("und")).alias("language"), distance.cast("long").alias("distance")
     )
