@@ -99,6 +99,6 @@ def iso_from_epoch(value: Column) -> Column:
     return F.date_format(F.timestamp_seconds(epoch_seconds(value)), "yyyy-MM-dd'T'HH:mm:ss")
 
 
-def iso_bangkok(ts: Column) -> Column:
+def iso_plus7(ts: Column) -> Column:
     """ISO-8601 in the +07:00 zone, whole seconds, from a UTC timestamp (session zone UTC)."""
     return F.concat(F.date_format(ts + F.expr("INTERVAL 7 HOURS"), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+07:00"))

@@ -133,8 +133,8 @@ def collect_metadata(df: DataFrame, raw_text: str, links_key: str = "links_all")
     )
 
 
-# Log columns and the name each step writes under.
-CLEANER, VALIDATOR, MAPPER = "minio_cleaner", "validator", "mapper"
+# Log columns, and the name each step writes under.
+CLEANER, VALIDATOR, MAPPER = "cleaner", "validator", "mapper"
 LOG_COLUMNS = ["log_id", "target_id", "step", "status", "details", "executed_by", "executed_at"]
 
 
@@ -156,7 +156,7 @@ def _entry(step: Column, status: Column, details: Column) -> Column:
     return F.struct(step.alias("step"), status.alias("status"), details.alias("details"))
 
 
-def clean_log(cleaned: DataFrame, at: Column, target: str = "id") -> DataFrame:
+def clean_log(cleaned: DataFrame, at: Column, target: str = "id", by: str = CLEANER) -> DataFrame:
     """Audit rows of the cleaning step: input check, every text step, final verdict."""
     received = _entry(
         F.lit("validate_input"), F.lit("success"), F.to_json(F.struct(F.col("original_chars")))
@@ -167,7 +167,7 @@ def clean_log(cleaned: DataFrame, at: Column, target: str = "id") -> DataFrame:
         F.when(F.col("status") == "cleaned", "success").otherwise("failed"),
         F.to_json(F.struct("char_count", F.col("script_ratio").alias("thai_ratio"), "reason")),
     )
-    return log_rows(cleaned, F.concat(F.array(received), steps, F.array(final)), CLEANER, at, target)
+    return log_rows(cleaned, F.concat(F.array(received), steps, F.array(final)), by, at, target)
 
 
 def quarantine_log(rejected: DataFrame, step: str, by: str, at: Column) -> DataFrame:

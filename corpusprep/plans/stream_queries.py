@@ -41,7 +41,10 @@ def drained(t: Tables, df: DataFrame, name: str) -> DataFrame:
 
 @query(
     "jsonl_scan",
-    "SELECT count(*) AS n_lines, count(*) AS n_numbers, count(*) AS n_last, count(DISTINCT doc_id) AS n_docs FROM documents",
+    """
+    SELECT unnest(['n_docs', 'n_last', 'n_lines', 'n_numbers']) AS measure, n
+    FROM (SELECT count(*) AS n FROM documents)
+    """,
 )
 def jsonl_scan(t: Tables) -> DataFrame:
     """Numbered lines: per file they run from 1 to the number of lines, without gaps or repeats."""
@@ -51,11 +54,11 @@ def jsonl_scan(t: Tables) -> DataFrame:
     per_file = numbered.groupBy("file_path").agg(
         F.count("*").alias("lines"), F.countDistinct("line_no").alias("numbers"), F.max("line_no").alias("last")
     )
-    docs = numbered.select("doc_id").distinct().agg(F.count("*").alias("n_docs"))
+    docs = numbered.select("doc_id").distinct().agg(F.lit("n_docs").alias("measure"), F.count("*").alias("n"))
     totals = per_file.agg(
         F.sum("lines").alias("n_lines"), F.sum("numbers").alias("n_numbers"), F.sum("last").alias("n_last")
     )
-    return totals.withColumn("_one", F.lit(1)).join(docs.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    return totals.unpivot([], ["n_lines", "n_numbers", "n_last"], "measure", "n").unionByName(docs)
 
 
 @query(

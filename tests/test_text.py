@@ -135,7 +135,7 @@ def test_timestamps_and_ids(spark):
     row = spark.range(1).select(
         keys.iso_from_epoch(F.lit(1_700_000_000)).alias("s"),
         keys.iso_from_epoch(F.lit(1_700_000_000_999)).alias("ms"),
-        keys.iso_bangkok(F.lit("2024-01-01 20:00:00").cast("timestamp")).alias("th"),
+        keys.iso_plus7(F.lit("2024-01-01 20:00:00").cast("timestamp")).alias("th"),
         keys.stable_uuid(F.lit("a"), F.lit(1)).alias("u"),
         keys.stable_uuid(F.lit("a"), F.lit(1)).alias("again"),
         keys.stable_uuid(F.lit("a1"), F.lit(None)).alias("other"),
