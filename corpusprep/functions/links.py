@@ -40,8 +40,9 @@ def normalize_url(url: Column) -> Column:
 
 def extract_urls(text: Column) -> Column:
     """Links of a text, normalised, each once, in order of first appearance."""
-    found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(URL), F.lit(1))
-    return F.array_distinct(F.filter(F.transform(found, normalize_url), lambda u: u != ""))
+    found = F.regexp_extract_all(text, F.lit(URL), F.lit(1))
+    urls = F.array_distinct(F.filter(F.transform(found, normalize_url), lambda u: u != ""))
+    return F.when(text.contains("://"), urls).otherwise(F.array().cast("array<string>"))
 
 
 def merge_links(previous: Column, links: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,16 +36,34 @@ class PrepareConfig:
     prefer_csv: bool = False
 
 
-@dataclass(frozen=True)
+@dataclass
 class Outputs:
-    """``documents`` are the new rows for the documents table; everything is lazy beyond the stage folder."""
+    """``documents`` are the new rows for the documents table; logs and counters are planned when asked for."""
 
     cleaned: DataFrame
     checked: DataFrame
     mapped: DataFrame
     documents: DataFrame
-    logs: DataFrame
-    counters: dict[str, DataFrame]
+    url_map: DataFrame
+    headers: list[str] | None
+    run_at: Column
+
+    @cached_property
+    def logs(self) -> DataFrame:
+        return ingest.union_logs(
+            cleaning.clean_log(self.cleaned, self.run_at),
+            validate.validation_log(self.checked, self.run_at),
+            enrich.mapping_log(self.mapped, self.run_at),
+            enrich.side_table_log(self.url_map, self.headers, self.run_at),
+        )
+
+    @cached_property
+    def counters(self) -> dict[str, DataFrame]:
+        return {
+            "clean": quality.clean_counters(self.cleaned, ["file_path"]),
+            "validate": quality.validate_counters(self.checked, ["file_path"]),
+            "map": quality.map_counters(self.mapped, ["file_path"]),
+        }
 
 
 def _staged(df: DataFrame, stage: str | None, name: str) -> DataFrame:
@@ -102,15 +121,4 @@ def prepare(
     batch = ingest.with_defaults(located.withColumn("_position", position))
     documents = ingest.absent_rows(batch, existing, "checksum", "_position").drop("_position")
 
-    logs = ingest.union_logs(
-        cleaning.clean_log(cleaned, run_at),
-        validate.validation_log(checked, run_at),
-        enrich.mapping_log(mapped, run_at),
-        enrich.side_table_log(url_map, headers, run_at),
-    )
-    counters = {
-        "clean": quality.clean_counters(cleaned, ["file_path"]),
-        "validate": quality.validate_counters(checked, ["file_path"]),
-        "map": quality.map_counters(mapped, ["file_path"]),
-    }
-    return Outputs(cleaned, checked, mapped, documents, logs, counters)
+    return Outputs(cleaned, checked, mapped, documents, url_map, headers, run_at)
