@@ -76,15 +76,25 @@ class SnapshotTable:
     """A keyed table kept as one Parquet snapshot per micro-batch.
 
     Batch n merges into snapshot n - 1 and overwrites snapshot n, so a batch that is run again after a failure gives
-    the same result.
+    the same result. ``base`` starts a new table; a folder that already holds finished snapshots goes on from the
+    newest, which must belong to the same stream checkpoint.
     """
 
     def __init__(self, spark: SparkSession, folder: str, base: DataFrame):
         self.spark = spark
         self.folder = folder.rstrip("/")
         self.schema = base.schema
-        self.version = -1
-        base.write.mode("overwrite").parquet(self._path(-1))
+        found = self._finished()
+        if not found:
+            base.write.mode("overwrite").parquet(self._path(-1))
+        self.version = max(found, default=-1)
+
+    def _finished(self) -> list[int]:
+        """Versions whose write was committed."""
+        pattern = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/snapshot-*/_SUCCESS")
+        files = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+        names = [file.getPath().getParent().getName() for file in files]
+        return [int(name.removeprefix("snapshot-")) - 1 for name in names]
 
     def _path(self, version: int) -> str:
         return f"{self.folder}/snapshot-{version + 1}"

@@ -61,6 +61,14 @@ def test_snapshot_table_merges_batches_and_can_repeat_one(spark, tmp_path):
     table.merge(stream, ingest.merge_labels, str(tmp_path / "cp"))
     got = {r.target_id: (r.label_value, r.confidence, r.annotator) for r in table.read().collect()}
     assert got == {"d": ("b", 50.0, "m1"), "e": ("c", 1.0, "m3")}
+    # A restart goes on from the newest snapshot and only merges what is new.
+    late = [("d", "s", "z", 99.0, "m0", 0, 0, 0)]
+    spark.createDataFrame(late, schema).coalesce(1).write.mode("append").parquet(str(folder))
+    table = files.SnapshotTable(spark, str(tmp_path / "table"), base)
+    assert table.version == 1 and table.read().count() == 2
+    table.merge(files.stream_table(spark, str(folder), base.schema), ingest.merge_labels, str(tmp_path / "cp"))
+    batches.append(late)
+    assert {r.label_value for r in table.read().filter("target_id = 'd'").collect()} == {"b"}
     whole = ingest.merge_labels(base, spark.createDataFrame(sum(batches, []), schema))
     assert sorted(map(str, whole.collect())) == sorted(map(str, table.read().collect()))
 
