@@ -13,6 +13,7 @@ from ..operators import clean as cleaning
 from ..operators import enrich, ingest, quality, validate
 from ..operators.clean import CleanConfig
 from ..operators.language import identify
+from ..session import materialize
 
 # What prepare() reads; columns a source does not have may be null.
 RECORD_COLUMNS = [
@@ -96,13 +97,15 @@ def prepare(
     named = cleaning.name_records(records, stage_paths(F.col("file_path")).stem)
     with_meta = cleaning.collect_metadata(named, "text").drop("source_id")
     measured = cleaning.measure(cleaning.clean_text(with_meta), rules)
+    measured = _staged(measured.withColumn("processed_at", run_at), stage, "measured")
     if profiles is not None:
+        # Stored once: every later step joins two narrow columns instead of ranking the texts again.
         open_texts = measured.filter("language IS NULL").select("id", "text")
-        detected = identify(open_texts, "id", "text", profiles).select("id", F.col("language").alias("_detected"))
+        detected = materialize(identify(open_texts, "id", "text", profiles).select("id", "language"))
+        detected = detected.withColumnRenamed("language", "_detected")
         measured = measured.join(detected, "id", "left").withColumn("language", F.coalesce("language", "_detected"))
         measured = measured.drop("_detected")
     measured = measured.withColumn("language", F.coalesce("language", F.lit("und")))
-    measured = _staged(measured.withColumn("processed_at", run_at), stage, "measured")
 
     cleaned = cleaning.verdict(measured, rules)
     checked = validate.validate(

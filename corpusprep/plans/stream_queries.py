@@ -185,7 +185,7 @@ def stream_upsert(t: Tables) -> DataFrame:
         F.col("event_id").alias("first_seq"),
     )
     rows.repartition(4, "seq").write.parquet(folder)
-    labels_table = files.SnapshotTable(t.spark, table, rows.limit(0))
+    labels_table = files.SnapshotTable(t.spark, table, t.spark.createDataFrame([], rows.schema))
     stream = files.stream_table(t.spark, folder, rows.schema, files_per_batch=1)
 
     def rule(existing: DataFrame, batch: DataFrame) -> DataFrame:

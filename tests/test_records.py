@@ -185,3 +185,28 @@ def test_prepare_end_to_end(spark, tmp_path):
         ("d/a.txt", "site", "2", "ingested", "th", {"url": "http://old", "created_date": "2024-01-01"}),
         ("b.txt", "web", "2", "ingested", "und", {"links_all": ["http://link.example/x"], "url": "http://b"}),
     ]
+
+
+def test_prepare_with_language_profiles(spark, tmp_path):
+    from corpusprep.operators.language import language_profiles
+
+    train = spark.createDataFrame(
+        [("en", "the cat sat on the mat and the dog ran with the ball"), ("de", "der hund und die katze sind auf der matte und ich")],
+        "lang string, text string",
+    )
+    texts = ["the dog and the mat with the cat", "die katze und der hund auf der matte", "สวัสดีชาวโลกทุกคน", "12345678901234"]
+    rows = [("raw/x.jsonl", i, t) + (None,) * 6 for i, t in enumerate(texts, 1)]
+    schema = "file_path string, line_no long, text string, source string, filename string, source_id string, meta string, created_date string, updated_date string"
+    empty = spark.createDataFrame([], "filename string, url string, line_no long")
+    out = prepare(
+        spark.createDataFrame(rows, schema),
+        empty,
+        spark.createDataFrame([], "checksum string"),
+        spark.createDataFrame([], "id string, name string"),
+        F.lit(AT),
+        PrepareConfig(clean=CleanConfig(min_ratio=0.0)),
+        str(tmp_path / "stage"),
+        language_profiles(train, "lang", "text"),
+    )
+    got = {r.line_no: (r.language, r.dataset_id) for r in out.documents.select("line_no", "language", "dataset_id").collect()}
+    assert got == {1: ("en", None), 2: ("de", None), 3: ("th", None), 4: ("und", None)}
