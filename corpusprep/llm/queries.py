@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import LOWER, UPPER, table
+from .decontam import decontaminate
 from .ngram_join import NgramJoin, ngram_join
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,9 +40,44 @@ SELECT s.doc_id, CAST(len(g) AS BIGINT) AS n_shingles,
 FROM sets s
 """
 
+def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+_ALNUM = f"regexp_extract_all({_LOWERED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+OP8_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce({_ALNUM}, []) AS ws FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_ALNUM} AS ws FROM benchmark),
+win AS (
+  SELECT DISTINCT item, least(len(ws), 13) AS size,
+    array_to_string(list_slice(ws, i, i + least(len(ws), 13) - 1), ' ') AS w
+  FROM (SELECT *, unnest(range(1, greatest(len(ws) - 13, 0) + 2)) AS i FROM b WHERE len(ws) > 0)),
+sizes AS (SELECT DISTINCT size FROM win),
+places AS (
+  SELECT doc_id, i, size, array_to_string(list_slice(ws, i, i + size - 1), ' ') AS w
+  FROM (SELECT doc_id, ws, size, unnest(range(1, greatest(len(ws) - size + 2, 1))) AS i FROM d, sizes)),
+found AS (SELECT doc_id, i, win.size, item FROM places JOIN win USING (size, w)),
+hits AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM found) GROUP BY 1),
+items AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS s FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY 1)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(t.n, 0) AS n_items,
+  sha256(coalesce(t.s, '')) AS items_sha256,
+  coalesce(h.n, 0) > 0 AND 20 * coalesce(h.n, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN hits h USING (doc_id) LEFT JOIN items t USING (doc_id)
+"""
+
 QUERIES: dict[str, Query] = {
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
 }
 SQL: dict[str, str] = {
+    "op8_benchmark_decontamination": OP8_SQL,
     "op7_ngram_jaccard_join": OP7_SQL,
 }
