@@ -156,16 +156,13 @@ def _sketch(described: DataFrame, how: NgramJoin) -> np.ndarray:
 
 
 def _prefixes(how: NgramJoin, order):
-    """Rows ``token, sig, n, typical`` for the prefix of every class, once per task.
-
-    ``typical`` is higher for a document whose rarest n-grams are more frequent: the best hub of a group of copies.
-    """
+    """Rows ``token, sig, n, place`` for the prefix of every class, once per task; ``place`` counts from 0."""
 
     def run(batches):
         seen = set()
         ranks = order.value
         for piece in pieces(batches, "text"):
-            tokens, owners, sizes, typical = [], [], [], []
+            tokens, owners, sizes, places = [], [], [], []
             for grams in sets(piece["text"], how.words):
                 n, sig = len(grams), signature(grams)
                 if n == 0 or (sig, n) in seen:
@@ -175,11 +172,11 @@ def _prefixes(how: NgramJoin, order):
                 tokens.append(keys.view(np.int64))
                 owners.append(np.full(len(keys), sig, np.int64))
                 sizes.append(np.full(len(keys), n, np.int64))
-                typical.append(np.full(len(keys), int((keys >> np.uint64(56)).mean() * 100), np.int64))
+                places.append(np.arange(len(keys), dtype=np.int64))
             if tokens:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(x)) for x in (tokens, owners, sizes, typical)],
-                    names=["token", "sig", "n", "typical"],
+                    [pa.array(np.concatenate(x)) for x in (tokens, owners, sizes, places)],
+                    names=["token", "sig", "n", "place"],
                 )
 
     return run
@@ -275,70 +272,71 @@ def ngram_join(docs: DataFrame, how: NgramJoin = NgramJoin()) -> DataFrame:
     members = described.filter("slice is null").select("doc_id", "n", "sig")
     classes = members.filter("n > 0").groupBy("sig", "n").agg(F.min("doc_id").alias("rep"))
 
-    prefixes = narrow.mapInArrow(_prefixes(how, order), "token long, sig long, n long, typical long")
-    # One shuffle by token serves the removal of repeats, the hubs and the way back to the rows.
-    listed = prefixes.repartition("token").dropDuplicates(["token", "sig", "n", "typical"])
+    prefixes = narrow.mapInArrow(_prefixes(how, order), "token long, sig long, n long, place long")
+    # One shuffle by token serves the removal of repeats, the hubs and the way back to the rows. The hub is the class
+    # with the fewest rarer n-grams: the original of a group of copies has none of its own.
+    listed = prefixes.repartition("token").dropDuplicates(["token", "sig", "n", "place"])
     hubs = listed.groupBy("token").agg(
-        F.count("*").alias("_members"), F.max(F.struct("typical", "n", "sig")).alias("hub")
+        F.count("*").alias("_members"), F.min(F.struct("place", "n", "sig")).alias("hub")
     )
     lists = stored(
         listed.join(hubs.filter("_members > 1"), "token").select(
-            "token", "sig", "n", F.col("hub.sig").alias("hub_sig"), F.col("hub.n").alias("hub_n")
+            "token", "sig", "n", "place", F.col("hub.sig").alias("sig2"), F.col("hub.n").alias("n2"),
+            F.col("hub.place").alias("place2"),
         ),
         "ngram-lists",
     )
-    fits = F.lit(100) * F.least("n", "n2") >= F.lit(how.percent) * F.greatest("n", "n2")
-    rep_of_candidates = lists.select("sig", "n").distinct().join(classes, ["sig", "n"])
-    wanted = spark.sparkContext.broadcast(_filter_of(rep_of_candidates.select(F.col("rep").alias("doc_id")), how))
-    segments = stored(
-        narrow.mapInArrow(_segments(how, order, wanted), "sig long, n long, fragment int, keys array<long>"),
-        "ngram-segments",
-    )
-    to_hub = (
-        lists.select("sig", "n", F.col("hub_sig").alias("sig2"), F.col("hub_n").alias("n2"))
-        .filter((F.col("sig") != F.col("sig2")) | (F.col("n") != F.col("n2")))
-        .distinct()
-        .filter(fits)
-    )
-    union = F.col("n") + F.col("n2") - F.col("shared")
-    linked = F.lit(100) * F.col("shared") >= F.lit(how.percent) * union
-    distance = F.lit(1.0) - F.col("shared") / union
-    star = stored(
-        _compared(to_hub, segments).withColumn("linked", linked).withColumn("distance", distance), "ngram-hub-links"
+    same = (F.col("sig") == F.col("sig2")) & (F.col("n") == F.col("n2"))
+    # Overlap that a link needs, and the places the first common n-gram of linked sets can have: as many n-grams before
+    # it as the set may lose.
+    total = F.col("n") + F.col("n2")
+    needed = F.expr(f"({how.percent} * (n + n2) + {99 + how.percent}) div {100 + how.percent}")
+    fits = (
+        (F.lit(100) * F.least("n", "n2") >= F.lit(how.percent) * F.greatest("n", "n2"))
+        & (F.col("place") <= F.col("n") - needed)
+        & (F.col("place2") <= F.col("n2") - needed)
     )
 
-    # Classes of a list with their verdict against the hub; the hub is linked to itself at distance 0.
-    known = star.select(
-        "sig", "n", F.col("sig2").alias("hub_sig"), F.col("n2").alias("hub_n"), "linked", "distance"
-    )
-    is_hub = (F.col("sig") == F.col("hub_sig")) & (F.col("n") == F.col("hub_n"))
+    def compare(pairs: DataFrame, name: str) -> DataFrame:
+        """Pairs with the verdict ``linked`` and their ``distance``; n-grams are fetched for the classes in them."""
+        pairs = stored(pairs, f"ngram-{name}-pairs")
+        asked = pairs.select("sig", "n").union(pairs.select("sig2", "n2")).distinct()
+        bits = _filter_of(asked.join(classes, ["sig", "n"]).select(F.col("rep").alias("doc_id")), how)
+        wanted = spark.sparkContext.broadcast(bits)
+        segments = stored(
+            narrow.mapInArrow(_segments(how, order, wanted), "sig long, n long, fragment int, keys array<long>"),
+            f"ngram-{name}-segments",
+        )
+        union = total - F.col("shared")
+        judged = (
+            _compared(pairs, segments)
+            .withColumn("linked", F.lit(100) * F.col("shared") >= F.lit(how.percent) * union)
+            .withColumn("distance", F.lit(1.0) - F.col("shared") / union)
+        )
+        return stored(judged, f"ngram-{name}-links")
+
+    star = compare(lists.filter(~same & fits).select("sig", "n", "sig2", "n2").distinct(), "hub")
+
+    # Classes of a list with their verdict against its hub. Those linked to the hub are connected with each other.
     judged = stored(
-        lists.join(known, ["sig", "n", "hub_sig", "hub_n"], "left")
-        .withColumn("linked", is_hub | F.coalesce("linked", F.lit(False)))
-        .withColumn("distance", F.when(is_hub, 0.0).otherwise(F.col("distance")))
-        .select("token", "sig", "n", "linked", "distance", is_hub.alias("is_hub")),
+        lists.filter(~same)
+        .join(star.select("sig", "n", "sig2", "n2", "linked", "distance"), ["sig", "n", "sig2", "n2"], "left")
+        .select("token", "sig", "n", "place", F.coalesce("linked", F.lit(False)).alias("linked"), "distance"),
         "ngram-judged",
     )
-    others = judged.filter("not is_hub").select(
-        "token",
-        F.col("sig").alias("sig2"),
-        F.col("n").alias("n2"),
-        F.col("linked").alias("linked2"),
-        F.col("distance").alias("distance2"),
-    )
+    others = judged.select("token", *[F.col(c).alias(f"{c}2") for c in ("sig", "n", "place", "linked", "distance")])
     first = (F.col("n") < F.col("n2")) | ((F.col("n") == F.col("n2")) & (F.col("sig") < F.col("sig2")))
     reach = F.lit(1.0 - how.percent / 100 + 1e-9)
     near = F.coalesce(F.abs(F.col("distance") - F.col("distance2")) <= reach, F.lit(True))
-    apart = judged.filter("not is_hub and not linked").select("token", "sig", "n", "distance")
-    # Each pair once: both apart from the hub, in order; or only the first of them.
     rest = (
-        apart.join(others, "token")
-        .filter(fits & near & (F.col("linked2") | first))
+        judged.filter("not linked")
+        .select("token", "sig", "n", "place", "distance")
+        .join(others, "token")
+        .filter(fits & near & ~same & (F.col("linked2") | first))
         .select("sig", "n", "sig2", "n2")
-        .filter((F.col("sig") != F.col("sig2")) | (F.col("n") != F.col("n2")))
         .distinct()
     )
-    met = stored(_compared(rest, segments).filter(linked).select("sig", "n", "sig2", "n2"), "ngram-links")
+    met = compare(rest, "other").filter("linked").select("sig", "n", "sig2", "n2")
     links = star.filter("linked").select("sig", "n", "sig2", "n2").union(met)
     reps = classes.filter("rep is not null")
     named = links.join(reps.withColumnRenamed("rep", "a"), ["sig", "n"]).join(
