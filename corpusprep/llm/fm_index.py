@@ -15,15 +15,23 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
     for k in range(reach):
         keys <<= width
         keys[: n - k] |= symbols[k:] if k < n else 0
+    order = np.argsort(keys, kind="stable")
+    rank = np.empty(n, np.int64)
+    # Positions in ``order`` whose suffixes are not told apart yet; a group's rank is its first position.
+    shared, ranked = np.arange(n), keys[order]
     while True:
-        order = np.argsort(keys, kind="stable")
-        ranked = keys[order]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.concatenate([[0], np.cumsum(ranked[1:] != ranked[:-1])])
-        if rank[order[-1]] == n - 1:
+        new = np.concatenate([[True], ranked[1:] != ranked[:-1]])
+        rank[order[shared]] = np.maximum.accumulate(np.where(new, shared, 0))
+        alone = new & np.concatenate([new[1:], [True]])
+        shared = shared[~alone]
+        if not len(shared):
             return order
-        keys = rank * (n + 1)
-        keys[: n - reach] += rank[reach:] + 1
+        suffixes = order[shared]
+        after = suffixes + reach
+        second = np.where(after < n, rank[np.minimum(after, n - 1)] + 1, 0)
+        ranked = rank[suffixes] * (n + 1) + second
+        by = np.argsort(ranked, kind="stable")
+        order[shared], ranked = suffixes[by], ranked[by]
         reach *= 2
 
 
