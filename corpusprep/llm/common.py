@@ -76,3 +76,37 @@ def mixed(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(33))
     x = x * np.uint64(0xC4CEB9FE1A85EC53)
     return x ^ (x >> np.uint64(33))
+
+
+def in_slices(values: np.ndarray, count: int) -> tuple[pa.Array, pa.Array]:
+    """A flat array as ``count`` numbered blocks of bytes, so that arrays of many tasks are summed in parallel."""
+    return (
+        pa.array(range(count), pa.int32()),
+        pa.array([b.tobytes() for b in np.split(values, count)], pa.binary()),
+    )
+
+
+def summed_slices(rows: DataFrame, count: int, length: int, dtype: str) -> np.ndarray:
+    """Sum of the arrays that tasks left as blocks (columns ``slice``, ``block``): ``length`` numbers at the driver.
+
+    A group streams through its task batch by batch, so memory does not grow with the number of tasks.
+    """
+    wide = "float64" if np.dtype(dtype).kind == "f" else "int64"
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, number = None, None
+        for batch in batches:
+            for row in range(batch.num_rows):
+                number = batch["slice"][row].as_py()
+                block = np.frombuffer(batch["block"][row].as_py(), dtype).astype(wide)
+                total = block if total is None else total + block
+        if total is not None:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([number], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["slice", "block"]
+            )
+
+    result = np.zeros(length, wide)
+    width = length // count
+    for row in rows.groupBy("slice").applyInArrow(add, "slice int, block binary").collect():  # ``count`` rows
+        result[row["slice"] * width : (row["slice"] + 1) * width] = np.frombuffer(row["block"], wide)
+    return result

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import encoded_words, mixed, pieces, stored, word_hashes
+from .common import encoded_words, in_slices, mixed, pieces, stored, summed_slices, word_hashes
 from .components import components
 
 
@@ -91,9 +91,8 @@ class Order:
         return np.minimum((share * fragments).astype(np.int64), fragments - 1)
 
 
-def _describe(id_type: str, how: NgramJoin):
+def _describe(how: NgramJoin):
     """Per document its set's size and signature (``slice`` null), and per task the sketch in slices of counters."""
-    width = (1 << how.sketch_bits) // how._slices
 
     def run(batches):
         counters = np.zeros(1 << how.sketch_bits, np.int64)
@@ -112,47 +111,21 @@ def _describe(id_type: str, how: NgramJoin):
                     empty.cast(pa.int32()),
                     empty.cast(pa.binary()),
                 ],
-                names=["doc_id", "n", "sig", "slice", "counters"],
+                names=["doc_id", "n", "sig", "slice", "block"],
             )
         if counters.any():
-            blocks = [counters[i * width : (i + 1) * width] for i in range(how._slices)]
-            none = pa.nulls(len(blocks))
+            numbers, blocks = in_slices(counters.astype(np.uint32), how._slices)
+            none = pa.nulls(len(blocks)).cast(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [
-                    none.cast(pa.int64()),
-                    none.cast(pa.int64()),
-                    none.cast(pa.int64()),
-                    pa.array(range(how._slices), pa.int32()),
-                    pa.array([b.astype(np.uint32).tobytes() for b in blocks], pa.binary()),
-                ],
-                names=["doc_id", "n", "sig", "slice", "counters"],
+                [none, none, none, numbers, blocks], names=["doc_id", "n", "sig", "slice", "block"]
             )
 
     return run
 
 
-def _add_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sum the counters of one slice; batches stream, so memory is one slice's."""
-    total, number = None, None
-    for batch in batches:
-        for row in range(batch.num_rows):
-            number = batch["slice"][row].as_py()
-            block = np.frombuffer(batch["counters"][row].as_py(), np.uint32).astype(np.int64)
-            total = block if total is None else total + block
-    if total is not None:
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([number], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["slice", "counters"]
-        )
-
-
 def _sketch(described: DataFrame, how: NgramJoin) -> np.ndarray:
-    slices = described.filter("slice is not null").select("slice", "counters")
-    rows = slices.groupBy("slice").applyInArrow(_add_slices, "slice int, counters binary").collect()
-    counters = np.zeros(1 << how.sketch_bits, np.int64)
-    width = len(counters) // how._slices
-    for row in rows:  # as many rows as slices, whatever the input
-        counters[row["slice"] * width : (row["slice"] + 1) * width] = np.frombuffer(row["counters"], np.int64)
-    return counters
+    slices = described.filter("slice is not null").select("slice", "block")
+    return summed_slices(slices, how._slices, 1 << how.sketch_bits, "uint32")
 
 
 def _prefixes(how: NgramJoin, order):
@@ -265,7 +238,7 @@ def ngram_join(docs: DataFrame, how: NgramJoin = NgramJoin()) -> DataFrame:
     spark = docs.sparkSession
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     described = stored(
-        narrow.mapInArrow(_describe("long", how), "doc_id long, n long, sig long, slice int, counters binary"),
+        narrow.mapInArrow(_describe(how), "doc_id long, n long, sig long, slice int, block binary"),
         "ngram-sets",
     )
     order = spark.sparkContext.broadcast(Order(_sketch(described, how), how.sketch_bits))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .common import LOWER, UPPER, table
 from .decontam import decontaminate
+from .lm_score import lm_score
 from .ngram_join import NgramJoin, ngram_join
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,7 +74,13 @@ SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(h.n, 0) AS n_hit,
 FROM d LEFT JOIN hits h USING (doc_id) LEFT JOIN items t USING (doc_id)
 """
 
+def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 2
+    return lm_score(table(spark, folder, "documents"), held_out)
+
+
 QUERIES: dict[str, Query] = {
+    "op10_lm_scoring": op10_lm_scoring,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
 }
