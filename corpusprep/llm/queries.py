@@ -11,6 +11,7 @@ from .common import LOWER, UPPER, table
 from .decontam import decontaminate
 from .lm_score import lm_score
 from .ngram_join import NgramJoin, ngram_join
+from .quality_rules import RULES, SYMBOLS, QualityRules, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -79,12 +80,68 @@ def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return lm_score(table(spark, folder, "documents"), held_out)
 
 
+def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def _op9_sql(how: QualityRules = QualityRules()) -> str:
+    """The same tests in DuckDB, with the binomial terms from ``lgamma``."""
+    rate, rules = how.risk / len(RULES), len(RULES)
+    counts, tests, chosen, verdicts = [], [], [], []
+    for name, (measure, steps) in RULES.items():
+        for i, c in enumerate(steps):
+            counts.append(f"count(*) FILTER (good = 1 AND {measure} > {c}) AS {name}_{i}")
+            counts.append(f"count(*) FILTER (good = 0 AND {measure} > {c}) AS {name}_c{i}")
+            p = (
+                f"(SELECT sum(exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({rate}) + (n - j) * "
+                f"ln(1 - {rate}))) FROM range(0, {name}_{i} + 1) AS r(j))"
+            )
+            tests.append(f"{p} <= {how.error} / ((SELECT count(*) FROM strata) * {rules}) AS {name}_t{i}")
+        holds = [" AND ".join(f"{name}_t{j}" for j in range(i + 1)) for i in range(len(steps))]
+        most = "greatest(" + ", ".join(f"CASE WHEN {h} THEN {name}_c{i} ELSE 0 END" for i, h in enumerate(holds)) + ")"
+        cases = " ".join(
+            f"WHEN {h} AND {name}_c{i} > 0 AND {name}_c{i} = {most} THEN {steps[i]}" for i, h in enumerate(holds)
+        )
+        chosen.append(f"CASE {cases} END AS {name}")
+        verdicts.append(f"WHEN {measure} > {name} THEN '{name}'")
+    return f"""
+WITH t AS (SELECT doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, {_WORDS.format(text="text")} AS ws,
+  list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls FROM t),
+win AS (SELECT doc_id, i, array_to_string(list_slice(ws, i, i + 7), ' ') AS v
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 6, 1))) AS i FROM w)),
+twice AS (SELECT doc_id, v FROM win GROUP BY ALL HAVING count(*) > 1),
+rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (
+  SELECT doc_id, unnest(range(i, i + 8)) AS p FROM win JOIN twice USING (doc_id, v)) GROUP BY 1),
+m AS (SELECT w.doc_id, stratum, CAST(len(ws) AS BIGINT) AS n_words,
+  CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+  CAST(length(text) - length(translate(text, '{SYMBOLS}', '')) AS BIGINT) AS n_symbols,
+  CAST(len(ls) AS BIGINT) AS n_lines, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+  CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words,
+  length(regexp_replace(text, '[^\\p{{Lu}}]', '', 'g')) AS n_capitals,
+  length(text) - length(translate(text, '!', '')) AS n_exclamations
+  FROM w LEFT JOIN rep USING (doc_id)),
+f AS (SELECT *, n_words < {how.min_words} OR 100 * n_repeat_words > {how.max_repeat_percent} * n_words AS base_failed FROM m),
+l AS (SELECT doc_id, min(quality) AS good FROM labels WHERE quality IN (0, 1) GROUP BY 1),
+strata AS (SELECT stratum, count(*) FILTER (good = 1) AS n, {", ".join(counts)}
+  FROM f JOIN l USING (doc_id) WHERE NOT base_failed GROUP BY 1),
+tests AS (SELECT *, {", ".join(tests)} FROM strata),
+chosen AS (SELECT stratum, {", ".join(chosen)} FROM tests),
+judged AS (SELECT f.*, CASE WHEN base_failed THEN 'base' {" ".join(verdicts)} END AS reason
+  FROM f LEFT JOIN chosen USING (stratum))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, reason IS NULL AS kept, reason
+FROM judged
+"""
+
+
 QUERIES: dict[str, Query] = {
+    "op9_quality_rules": op9_quality_rules,
     "op10_lm_scoring": op10_lm_scoring,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
 }
 SQL: dict[str, str] = {
+    "op9_quality_rules": _op9_sql(),
     "op8_benchmark_decontamination": OP8_SQL,
     "op7_ngram_jaccard_join": OP7_SQL,
 }
