@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .common import LOWER, UPPER, table
 from .decontam import decontaminate
+from .line_dedup import line_dedup
 from .lm_score import lm_score
 from .ngram_join import NgramJoin, ngram_join
 from .quality_rules import RULES, SYMBOLS, QualityRules, quality_rules
@@ -42,6 +43,10 @@ SELECT s.doc_id, CAST(len(g) AS BIGINT) AS n_shingles,
 FROM sets s
 """
 
+def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup(table(spark, folder, "documents")).select("doc_id", "n_lines", "n_removed", "text")
+
+
 def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select(
@@ -135,6 +140,7 @@ FROM judged
 
 
 QUERIES: dict[str, Query] = {
+    "op4_line_dedup": op4_line_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_lm_scoring": op10_lm_scoring,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
