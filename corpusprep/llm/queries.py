@@ -11,6 +11,7 @@ from .common import LOWER, UPPER, table
 from .decontam import decontaminate
 from .line_dedup import line_dedup
 from .lm_score import lm_score
+from .mixing import Mixing, mix, text_form
 from .ngram_join import NgramJoin, ngram_join
 from .quality_rules import RULES, SYMBOLS, QualityRules, quality_rules
 
@@ -47,6 +48,61 @@ def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup(table(spark, folder, "documents")).select("doc_id", "n_lines", "n_removed", "text")
 
 
+#: Exponent that tempers the shares of sources, languages and topics.
+TEMPER = 0.5
+
+
+def op5_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").withColumn("topic", text_form(F.col("text")))
+    return mix(docs, TEMPER).select("doc_id", "n_tokens", F.round("probability", 9).alias("probability"), "kept")
+
+
+def _op5_sql(how: Mixing = Mixing()) -> str:
+    """The same rounds, one common table expression per step."""
+    names = ", ".join(how.dimensions)
+    count = lambda chars: f"(length(t) - length(translate(t, '{chars}', '')))"
+    steps = [
+        f"""c0 AS (SELECT {names}, CAST(sum(n_tokens) AS DOUBLE) AS tokens, CAST(sum(n_tokens) AS DOUBLE) AS weight
+  FROM d GROUP BY {names})"""
+    ]
+    targets = ", ".join(
+        f"(SELECT sum(tokens) FROM c0 x WHERE x.{d} = c0.{d}) ** {TEMPER} / (SELECT sum(s ** {TEMPER}) FROM "
+        f"(SELECT sum(tokens) AS s FROM c0 GROUP BY {d} HAVING s > 0)) AS t_{d}"
+        for d in how.dimensions
+    )
+    steps.append(f"r0 AS MATERIALIZED (SELECT *, {targets} FROM c0)")
+    k = 0
+    for _ in range(how.rounds):
+        for d in how.dimensions:
+            steps.append(
+                f"r{k + 1} AS (SELECT * REPLACE (CASE WHEN sum(weight) OVER (PARTITION BY {d}) > 0 THEN weight * t_{d} / "
+                f"sum(weight) OVER (PARTITION BY {d}) ELSE 0 END AS weight) FROM r{k})"
+            )
+            k += 1
+    steps.append(f"p0 AS (SELECT *, sum(tokens) OVER () * {how.share} AS budget, 0.0::DOUBLE AS p FROM r{k})")
+    for i in range(how.capping):
+        left = "(budget - sum(CASE WHEN p >= 1 THEN tokens ELSE 0 END) OVER ())"
+        rest = "sum(CASE WHEN p >= 1 THEN 0 ELSE weight END) OVER ()"
+        given = f"CASE WHEN {rest} > 0 THEN weight * {left} / {rest} ELSE 0 END"
+        steps.append(
+            f"p{i + 1} AS (SELECT * REPLACE (CASE WHEN p >= 1 THEN 1.0 WHEN tokens > 0 THEN "
+            f"least(1.0, greatest(0.0, {given} / tokens)) ELSE 0.0 END AS p) FROM p{i})"
+        )
+    dims = ", ".join(f"coalesce({d}, '') AS {d}" for d in how.dimensions)
+    return f"""
+WITH raw AS (SELECT doc_id, source, lang, coalesce(text, '') AS t FROM documents),
+formed AS (SELECT doc_id, source, lang, CAST(len({_WORDS.format(text="t")}) AS BIGINT) AS n_tokens,
+  CASE WHEN {count("#*$%&|<>")} * 20 > greatest(length(t), 1) THEN 'marks'
+    WHEN {count("0123456789")} * 20 > greatest(length(t), 1) THEN 'numbers'
+    WHEN length(t) < 1000 THEN 'short' ELSE 'prose' END AS topic FROM raw),
+d AS (SELECT doc_id, n_tokens, {dims} FROM formed),
+{", ".join(steps)}
+SELECT doc_id, n_tokens, round(p, 9) AS probability,
+  CAST(('0x' || substr(md5('{how.seed}:' || doc_id), 1, 13)) AS BIGINT) / (16.0::DOUBLE ** 13) < p AS kept
+FROM d JOIN p{how.capping} USING ({names})
+"""
+
+
 def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select(
@@ -140,6 +196,7 @@ FROM judged
 
 
 QUERIES: dict[str, Query] = {
+    "op5_source_mixing": op5_source_mixing,
     "op4_line_dedup": op4_line_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_lm_scoring": op10_lm_scoring,
@@ -147,6 +204,7 @@ QUERIES: dict[str, Query] = {
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
 }
 SQL: dict[str, str] = {
+    "op5_source_mixing": _op5_sql(),
     "op9_quality_rules": _op9_sql(),
     "op8_benchmark_decontamination": OP8_SQL,
     "op7_ngram_jaccard_join": OP7_SQL,
