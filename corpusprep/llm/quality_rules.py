@@ -102,6 +102,7 @@ def measured(docs: DataFrame, stratum: str, how: QualityRules) -> DataFrame:
     counts = base.select(
         "doc_id",
         "stratum",
+        F.xxhash64("text").alias("version"),
         F.size("words").cast("long").alias("n_words"),
         F.length(F.translate("text", BLANKS, "")).cast("long").alias("word_chars"),
         (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
@@ -170,7 +171,7 @@ def quality_rules(
     """Counts, ``base_failed``, ``kept`` and ``reason`` for every row of ``docs`` (``doc_id`` long, ``text``, stratum).
 
     A document is kept unless it fails the base rules or exceeds a cutoff of its stratum; ``reason`` is ``base``, the
-    first rule exceeded, or null. A null text has no words and fails; a null stratum counts as the empty string; a
+    first rule exceeded, or null; ``version`` is a hash of the text (null as empty). A null text has no words and fails; a null stratum counts as the empty string; a
     stratum without enough labels has no cutoffs. Repeated rows come back as often as they came, a null doc_id stays
     null, other columns are ignored. Without labels only the base rules hold; an empty table gives an empty result.
     """
@@ -190,4 +191,5 @@ def quality_rules(
         "base_failed",
         reason.isNull().alias("kept"),
         reason.alias("reason"),
+        "version",
     )
