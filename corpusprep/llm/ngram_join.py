@@ -36,7 +36,7 @@ class NgramJoin:
     words: int = 5
     percent: int = 80
     fragments: int = 8
-    sketch_bits: int = 20
+    sketch_bits: int = 22
     filter_bits: int = 23
     _slices: int = field(default=64, repr=False)
 
@@ -74,13 +74,13 @@ class Order:
 
     def __init__(self, counters: np.ndarray, bits: int):
         self.bits = bits
-        self.classes = np.ceil(np.log2(np.maximum(counters, 1))).astype(np.uint64)
-        mass = np.bincount(self.classes.astype(np.int64), weights=counters, minlength=65)
+        self.classes = np.ceil(np.log2(np.maximum(counters, 1))).astype(np.uint8)
+        mass = np.bincount(self.classes, weights=counters, minlength=65)
         self.below = np.concatenate([[0.0], np.cumsum(mass)])
         self.mass = mass
 
     def keys(self, grams: np.ndarray) -> np.ndarray:
-        frequency = self.classes[(grams & np.uint64((1 << self.bits) - 1)).astype(np.int64)]
+        frequency = self.classes[(grams & np.uint64((1 << self.bits) - 1)).astype(np.int64)].astype(np.uint64)
         return (frequency << np.uint64(56)) | (grams >> np.uint64(8))
 
     def fragment(self, keys: np.ndarray, fragments: int) -> np.ndarray:
