@@ -79,11 +79,11 @@ def best_of(scores: Column) -> Column:
     return F.struct(top["label"].alias("label"), round_half_even(top["score"] * 100, 2).alias("confidence"))
 
 
-def label_texts(df: DataFrame, add_scores: Scores, max_positions: int = 512) -> DataFrame:
-    """Add ``label`` and ``confidence``. The scorer sees the text cut to its token budget; the checksum stays that of
-    the whole text."""
-    cut = df.withColumn("_cut", cut_to_budget(F.col("text"), token_budget(max_positions)))
-    scored = add_scores(cut, "_cut", "_scores").withColumn("_best", best_of(F.col("_scores")))
+def label_texts(df: DataFrame, add_scores: Scores, max_positions: int | None = None) -> DataFrame:
+    """Add ``label`` and ``confidence``. The scorer judges the whole text; only for one that can't take more than
+    ``max_positions`` tokens is it cut to that budget. The checksum stays that of the whole text."""
+    text = F.col("text") if max_positions is None else cut_to_budget(F.col("text"), token_budget(max_positions))
+    scored = add_scores(df.withColumn("_cut", text), "_cut", "_scores").withColumn("_best", best_of(F.col("_scores")))
     return scored.select(*df.columns, "_best.label", "_best.confidence")
 
 

@@ -12,18 +12,13 @@ from ..operators import labels
 from ..operators.language import TOP, identify, language_profiles
 from .registry import Tables, query
 from .table_queries import loaded_documents
-from .text_queries import SQL_BLANKS
 
 # The given texts are made of invented words, so the lexicon takes frequent ones of each kind.
 LEXICON = labels.Lexicon(positive=("the", "la", "der", "and"), negative=("of", "que", "und", "to"))
 ANNOTATOR = "lexicon@v1"
 
 SQL_LABELLED = f"""
-    cut AS (
-      SELECT doc_id, sha256(text) AS checksum, lower(CASE WHEN len(tokens) > 510 THEN array_to_string(tokens[1:510], ' ')
-             ELSE text END) AS body
-      FROM (SELECT doc_id, text, string_split_regex(trim(text, {SQL_BLANKS}), '[\\s\\x{{A0}}]+') AS tokens
-            FROM documents)),
+    cut AS (SELECT doc_id, sha256(text) AS checksum, lower(text) AS body FROM documents),
     hits AS (
       SELECT doc_id, checksum,
              1 + len(list_filter(words, lambda w: w IN ('the', 'la', 'der', 'and'))) AS p,

@@ -35,11 +35,14 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the cluster's ``spark.checkpoint.dir``.
 
-    Only a session without one (tests, a laptop) gets a folder of its own.
+    Only a local session without one (tests, a laptop) gets a folder of its own; on a cluster a folder of one machine
+    would be invisible to the others.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not configured:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="corpusprep-")
         context.setCheckpointDir(configured)
     elif not context.getCheckpointDir():

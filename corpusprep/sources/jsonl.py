@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import BLANKS, checksum, strip
 from ..operators.keyed import measured_lookup
+from ..session import work_path
 
 
 def scan_lines(spark: SparkSession, path: str | list[str], glob: str = "*.jsonl") -> DataFrame:
@@ -29,19 +30,25 @@ def read_lines(
 ) -> DataFrame:
     """``file_path, line_no, value`` with 1-based physical line numbers; blank and broken lines count too.
 
-    Rows of one split are contiguous in their partition, so a line's number is its offset inside the split plus the
-    lines of the splits before it. One narrow pass counts the lines of every split (no text is shuffled, one big file
-    is counted by many tasks); the counts, one row per split, are then joined back. ``limit`` keeps the first lines of
+    The lines are written once below the shared folder, each with its split and a number that rises inside the split.
+    All else is computed from that copy, so numbers do not depend on how a later job would plan its splits. A narrow
+    pass counts the lines of every split (no text is shuffled, one big file is counted by many tasks); the counts, one
+    row per split, are joined back, and a line whose split has no count is an error. ``limit`` keeps the first lines of
     each file, ``None`` or 0 keeps all.
     """
-    lines = scan_lines(spark, path, glob)
+    scanned, copy = scan_lines(spark, path, glob), work_path(spark, "lines")
+    scanned.write.parquet(copy)
+    lines = spark.read.schema(scanned.schema).parquet(copy)
     splits = lines.groupBy("file_path", "_block").agg(F.min("_seq").alias("_base"), F.count("*").alias("_lines"))
     before = Window.partitionBy("file_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.select(
         "file_path", "_block", "_base", F.coalesce(F.sum("_lines").over(before), F.lit(0)).alias("_offset")
     )
-    numbered = measured_lookup(lines, offsets, ["file_path", "_block"], ["_seq"], "inner").select(
-        "file_path", (F.col("_seq") - F.col("_base") + F.col("_offset") + 1).alias("line_no"), "value"
+    number = F.col("_seq") - F.col("_base") + F.col("_offset") + 1
+    numbered = measured_lookup(lines, offsets, ["file_path", "_block"], ["_seq"], "left").select(
+        "file_path",
+        F.coalesce(number, F.raise_error(F.lit("a line's split has no count"))).cast("long").alias("line_no"),
+        "value",
     )
     return numbered.filter(F.col("line_no") <= limit) if limit else numbered
 
@@ -64,11 +71,17 @@ def first_key(keys: DataFrame, forced: str | None = None) -> DataFrame:
 def json_value(line: Column) -> Column:
     """The line as a variant, null when it is not exactly one JSON value.
 
-    The parser alone accepts text after the first value; inside brackets the same text is an error or a second item.
+    The parser alone accepts text after the first value. So the line becomes the first of two items, the second being
+    its own hash: a line that closes the list itself, or holds a second value, would have to contain its hash.
     """
     line = F.btrim(line, F.lit(BLANKS))
-    wrapped = F.try_parse_json(F.concat(F.lit("["), line, F.lit("]")))
-    single = F.variant_get(wrapped, "$[0]", "variant").isNotNull() & F.variant_get(wrapped, "$[1]", "variant").isNull()
+    digest = F.sha2(line, 256)
+    wrapped = F.try_parse_json(F.concat(F.lit("["), line, F.lit(',"'), digest, F.lit('"]')))
+    single = (
+        F.variant_get(wrapped, "$[0]", "variant").isNotNull()
+        & (F.try_variant_get(wrapped, "$[1]", "string") == digest)
+        & F.variant_get(wrapped, "$[2]", "variant").isNull()
+    )
     return F.when(single, F.variant_get(wrapped, "$[0]", "variant"))
 
 
