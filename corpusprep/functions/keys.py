@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -28,6 +29,19 @@ def normalize_key(*parts: Column) -> Column:
     return F.ltrim(joined, F.lit("/"))
 
 
+def object_key(path: Column, root: str) -> Column:
+    """Key of a scanned file below ``root``: the file's URI decoded, without scheme, host or bucket, and root.
+
+    A path outside ``root`` keeps all its folders.
+    """
+    scheme = "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+    # Decoding takes a plus sign for a blank; in a path it is a plus sign.
+    plain = F.regexp_replace(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), scheme, "")
+    base = re.sub(scheme, "", root).strip("/") + "/"
+    key = F.ltrim(plain, F.lit("/"))
+    return F.when(key.startswith(base), F.substr(key, F.lit(len(base) + 1))).otherwise(key)
+
+
 def basename(key: Column) -> Column:
     """Text after the last slash; a key ending in a slash is kept whole; null becomes ''."""
     key = strip(F.coalesce(key, F.lit("")))

@@ -34,7 +34,17 @@ def export_chats(chats: DataFrame) -> DataFrame:
 
 
 def write_export(exported: DataFrame, folder: str, run_date: str) -> str:
-    """JSON lines below a folder named by the run's date. ``model`` is left out where it does not apply."""
+    """JSON lines below a folder named by the run's date.
+
+    Null fields are written; only ``model`` is left out where it does not apply.
+    """
+
+    def listed(message: Column) -> Column:
+        both = [F.lit("role"), message["role"], F.lit("content"), message["content"]]
+        with_model = F.create_map(*both, F.lit("model"), message["model"])
+        return F.when(message["role"] == "assistant", with_model).otherwise(F.create_map(*both))
+
     path = f"{folder.rstrip('/')}/{run_date}"
-    exported.write.mode("overwrite").json(path)
+    lines = exported.withColumn("messages", F.transform("messages", listed))
+    lines.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
     return path

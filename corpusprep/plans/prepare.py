@@ -8,7 +8,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.keys import stage_paths
+from ..functions.keys import object_key, stage_paths
 from ..operators import clean as cleaning
 from ..operators import enrich, ingest, quality, validate
 from ..operators.clean import CleanConfig
@@ -31,10 +31,13 @@ RECORD_COLUMNS = [
 
 @dataclass(frozen=True)
 class PrepareConfig:
+    """``root`` is the folder or bucket that was scanned: file paths then become object keys below it."""
+
     clean: CleanConfig = field(default_factory=CleanConfig)
     allowed_status: str = "cleaned"
     min_valid_chars: int = 1
     prefer_csv: bool = False
+    root: str | None = None
 
 
 @dataclass
@@ -94,6 +97,8 @@ def prepare(
     identification for texts the script ratio leaves open. ``headers`` comes from the side table's reader.
     """
     rules = config.clean
+    if config.root is not None:
+        records = records.withColumn("file_path", object_key(F.col("file_path"), config.root))
     named = cleaning.name_records(records, stage_paths(F.col("file_path")).stem)
     with_meta = cleaning.collect_metadata(named, "text").drop("source_id")
     measured = cleaning.measure(cleaning.clean_text(with_meta), rules)

@@ -38,8 +38,13 @@ def sliding_rate(
 
 
 def quiet_sessions(df: DataFrame, ts: str, by: list[str], quiet: str, out: str, late: str) -> DataFrame:
-    """Batches on a stream that close when a key has been quiet; emitted once the watermark has passed them."""
-    return _counted(_watermarked(df, ts, late), F.session_window(ts, quiet), by, out)
+    """Batches on a stream that close when a key has been quiet; emitted once the watermark has passed them.
+
+    A gap of exactly ``quiet`` ends a batch. Session windows would still merge there, so theirs is one microsecond
+    shorter; ``window_end`` is the last arrival plus ``quiet``.
+    """
+    counts = _counted(_watermarked(df, ts, late), F.session_window(ts, f"{quiet} -1 microseconds"), by, out)
+    return counts.withColumn("window_end", F.col("window_end") + F.expr("INTERVAL 1 MICROSECOND"))
 
 
 def first_seen(df: DataFrame, ts: str, keys: list[str], late: str) -> DataFrame:
