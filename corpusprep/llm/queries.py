@@ -67,15 +67,21 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
         both = bpe_counts(df, ranks, "byte_bpe_50k").unionByName(word_counts(df))
         return stored(both, f"token-counts-{name}")
 
-    counts = counted(docs, "all")
+    # Only texts with marks are counted again without them, whether bad or not: which ones are bad is decided on the
+    # counts, so that no text is shuffled.
+    cleared = F.translate("text", SYMBOLS, "")
+    has_marks = F.coalesce(F.col("text") != cleared, F.lit(False))
+    marked = counted(docs.filter(has_marks), "marked")
+    counts = marked.unionByName(counted(docs.filter(~has_marks), "unmarked"))
+    after = counted(docs.filter(has_marks).withColumn("text", cleared), "cleared")
     toxic = labels.filter("toxic = 1").select("doc_id").distinct()
     bad = labels.filter("quality = 0").join(toxic, "doc_id", "left_anti").select("doc_id").distinct()
     removed = deletes(counts.join(toxic, "doc_id", "left_semi"))
-    revised = docs.join(bad, "doc_id", "left_semi").withColumn("text", F.translate("text", SYMBOLS, ""))
+    revised = revisions(marked.join(bad, "doc_id", "left_semi"), after.join(bad, "doc_id", "left_semi"))
     path = work_path(spark, "token-rollup")
     commit(path, "0001-load", [inserts(counts)])
     commit(path, "0002-toxic", [removed])
-    commit(path, "0003-marks", [revisions(counts.join(bad, "doc_id", "left_semi"), counted(revised, "revised"))])
+    commit(path, "0003-marks", [revised])
     commit(path, "0002-toxic", [removed])
     return totals(spark, path)
 
