@@ -110,3 +110,31 @@ def test_bits_are_majorities(spark):
         want = sum(1 << j for j in range(64) if 2 * sum(h >> j & 1 for h in hashes) > n)
         df = spark.createDataFrame([(hashes,)], "h array<long>")
         assert df.select(F.transform(F.array("h"), simhash)[0]).first()[0] % (1 << 64) == want
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_variants_of_lines_of_all_lengths_are_found(docs):
+    rng = random.Random(5)
+    letters = "etaoinshrdlu"
+    pairs = []
+    for k in range(200):
+        words = ["".join(rng.choice(letters) for _ in range(rng.randrange(2, 9))) for _ in range(5 + 75 * k // 199)]
+        line = " ".join(words)
+        near = list(line)
+        for _ in range(1 if k % 2 else rng.randrange(1, len(line) // 10 + 1)):
+            at = rng.choice([i for i, c in enumerate(near) if c != " "])
+            near[at] = rng.choice(letters)
+        near = "".join(near)
+        if near != line and distance(line, near) <= 0.1 * max(len(line), len(near)):
+            pairs.append((line, near))
+    got = {r.doc_id: r.n_removed for r in line_dedup(docs([t for p in pairs for t in p])).collect()}
+    assert not any(got[2 * i] for i in range(len(pairs)))
+    assert sum(got[2 * i + 1] for i in range(len(pairs))) >= 0.9 * len(pairs) > 170
