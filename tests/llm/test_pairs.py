@@ -138,3 +138,12 @@ def test_variants_of_lines_of_all_lengths_are_found(docs):
     got = {r.doc_id: r.n_removed for r in line_dedup(docs([t for p in pairs for t in p])).collect()}
     assert not any(got[2 * i] for i in range(len(pairs)))
     assert sum(got[2 * i + 1] for i in range(len(pairs))) >= 0.9 * len(pairs) > 170
+
+
+def test_lines_of_few_long_words_take_part(docs):
+    thai = "การเรียนรู้ของเครื่องเป็นสาขาหนึ่งของปัญญาประดิษฐ์"
+    near = thai.replace("สาขา", "สาขะ")
+    got = line_dedup(docs([f"{thai}\nSubscribe to newsletter\nMenu", thai, near, "Subscribe to newsletter!\nMenu\n---"])).collect()
+    assert {r.doc_id: (r.text, r.n_removed) for r in got} == {
+        0: (f"{thai}\nSubscribe to newsletter\nMenu", 0), 1: ("", 1), 2: ("", 1), 3: ("Menu\n---", 1)
+    }
