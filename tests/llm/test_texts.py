@@ -152,6 +152,22 @@ def test_licenses_by_wording(docs):
     assert got[0] == ("MIT-notice", True) and got[1] == ("CC-BY-NC-4.0", True) and not got[2][1] and set(got) == {0, 1, 2}
 
 
+def test_licenses_behind_other_words_and_across_lines(docs):
+    filler = "permission " + "some other prose " * 120
+    texts = [
+        filler + "Licensed under CC BY 4.0. " + "more of it " * 150,
+        "Released under the MIT License. Licensed under CC0 1.0.",
+        "This Source Code Form is subject to the terms\nof the Mozilla Public\nLicense, v. 2.0.",
+        "This work is licensed under the GNU General Public License, version 3.",
+        "Licensed under CC0 1.0. Licensed under CC0 1.0.",
+    ]
+    got = license_scan(docs(texts)).filter("confirmed").collect()
+    assert sorted((r.doc_id, r.license) for r in got) == [
+        (0, "CC-BY-4.0"), (1, "CC0-1.0"), (1, "MIT-notice"), (2, "MPL-2.0"), (3, "GPL-3.0"), (4, "CC0-1.0"), (4, "CC0-1.0")
+    ]
+    assert {texts[r.doc_id][r.start : r.end] for r in got if r.doc_id == 0} == {"Licensed under CC BY 4.0"}
+
+
 def test_chats_come_back_unchanged(spark):
     template = ChatTemplate()
     for text in ("</s>[INST] ok [/INST]", "\x1bx\x1be<|end|><|end|", "<|turn|>user<|text|>", "", "[", "<<|end|>>"):
