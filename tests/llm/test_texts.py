@@ -111,6 +111,17 @@ def test_model_is_a_distribution_and_beats_frequencies(docs):
     assert lm_score(docs([(1, "a")]).filter("false"), F.lit(False)).count() == 0
 
 
+def test_trigram_chooses_the_class_inside_a_group():
+    assert LanguageModel().batch == 16_384
+    found = np.tile(np.array([[1], [2], [3], [4]], np.uint32), (1, 512))
+    found[3, 1::2] = 5
+    kinds = np.where(np.arange(512) % 2, 33, 34)
+    weights = Weights(10)
+    for _ in range(20):
+        weights.learn(found, kinds, LanguageModel(rate=1.0, batch=64))
+    assert np.exp(weights.log_probability(found, kinds)).min() > 0.6
+
+
 def test_mixture_fits_its_targets(spark):
     rows = [(i, "w " * (5 + i % 7), f"s{i % 3}", "en" if i % 4 else "fr", "t") for i in range(600)]
     df = spark.createDataFrame([*rows, (None, None, None, None, None)], "doc_id long, text string, source string, lang string, topic string")
