@@ -18,6 +18,7 @@ from .line_dedup import line_dedup
 from .lm_score import lm_score
 from .mixing import Mixing, mix, text_form
 from .ngram_join import NgramJoin, ngram_join
+from .prefix_trie import PrefixTrie, prefix_trie, turn_digests, with_conversation
 from .quality_rules import RULES, SYMBOLS, QualityRules, quality_rules
 from .token_counts import bpe_counts, commit, deletes, inserts, revisions, totals, word_counts
 from .url_filter import UrlFilter, url_filter
@@ -286,6 +287,64 @@ SELECT conv_id, count(*) AS n_turns,
 FROM f GROUP BY conv_id
 """
 
+
+def rebuilt(turns: DataFrame, how: PrefixTrie = PrefixTrie()) -> tuple[DataFrame, DataFrame]:
+    """Conversations of the contract, on turn digests: the first h turns of conversation c - c % 5, then c's own after
+    its first h. Returns their turns and the ids of all of them, as some have no turn left."""
+    convs = turns.groupBy("conv_id").agg((F.max("pos") + 1).alias("n_turns"))
+    convs = convs.withColumn("h", F.crc32(F.col("conv_id").cast("string")) % 9)
+    convs = convs.withColumn("base", F.col("conv_id") - F.col("conv_id") % 5)
+    bases = convs.select(F.col("conv_id").alias("base"), F.col("n_turns").alias("_n"))
+    convs = convs.join(bases, "base", "left").withColumn("taken", F.least("h", F.coalesce("_n", F.lit(0).cast("long"))))
+    convs = stored(convs.drop("_n"), "trie-conversations")
+    first = turns.filter("pos < 8").withColumnRenamed("conv_id", "base")  # h is 8 at most
+    borrowed = first.join(convs.filter("taken > 0").select("conv_id", "base", "taken"), "base").filter("pos < taken")
+    own = with_conversation(turns, convs.select("conv_id", "n_turns", "h", "taken"), how.segment * how.block)
+    own = own.filter("pos >= h").withColumn("pos", F.col("pos") - F.col("h") + F.col("taken"))
+    columns = ["conv_id", "pos", "digest", "n_bytes"]
+    return borrowed.select(*columns).unionByName(own.select(*columns)), convs.select("conv_id")
+
+
+def op11_conversation_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie(*rebuilt(turn_digests(table(spark, folder, "conversations"))))
+
+
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 of a string's UTF-8 bytes in DuckDB; needs ``_CRC_TABLE`` as ``crc(steps)`` in FROM."""
+    digit = "(strpos('0123456789ABCDEF', x[{}]) - 1)"
+    byte = f"{digit.format(1)} * 16 + {digit.format(2)}"
+    codes = f"list_transform(regexp_extract_all(hex({text}), '..'), lambda x: CAST({byte} AS BIGINT))"
+    step = "xor(c >> 8, steps[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda c, b: {step}), 4294967295::BIGINT)"
+
+
+_CRC_TABLE = """crc AS MATERIALIZED (SELECT list_transform(range(256), lambda i: list_reduce(
+  list_prepend(i::BIGINT, [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+  lambda c, b: xor(c >> 1, 3988292384::BIGINT * (c & 1)))) AS steps)"""
+
+OP11_SQL = f"""
+WITH {_CRC_TABLE},
+t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS p FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, {_crc32("CAST(conv_id AS VARCHAR)")} % 9 AS h, conv_id - conv_id % 5 AS base, n FROM
+  (SELECT conv_id, count(*) AS n FROM t GROUP BY 1), crc),
+k AS (SELECT c.*, least(h, coalesce(b.n, 0)) AS taken FROM c LEFT JOIN (SELECT conv_id AS base, n FROM c) b USING (base)),
+r AS (SELECT k.conv_id, p, role, text FROM k JOIN t ON t.conv_id = base AND p < taken
+  UNION ALL SELECT conv_id, p - h + taken, role, text FROM k JOIN t USING (conv_id) WHERE p >= h),
+m AS (SELECT conv_id, p + 1 AS d, strlen(text) AS bytes, string_agg(md5(role || chr(10) || md5(text)), '') OVER w AS key
+  FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY p ROWS UNBOUNDED PRECEDING) UNION ALL SELECT conv_id, 0, 0, '' FROM k),
+l AS (SELECT conv_id, max(d) AS len FROM m GROUP BY 1),
+v AS (SELECT d, key, min(conv_id) AS owner, count(*) AS n, any_value(bytes) AS bytes, count(*) FILTER (d = len) AS n_ends,
+  sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (d = len), '')) AS ends
+  FROM m JOIN l USING (conv_id) GROUP BY d, key),
+below AS (SELECT a.d, a.key, sum((v.n - 1) * v.bytes) AS saved, count(*) FILTER (v.n = v.n_ends) AS leaves,
+  count(*) FILTER (v.d = a.d + 1) AS children FROM v JOIN m a ON a.conv_id = v.owner AND a.d <= v.d GROUP BY ALL)
+SELECT v.owner AS conv_id, CAST(v.d AS BIGINT) AS depth, u.owner AS parent_conv_id, v.n AS n_convs, children AS n_children,
+  leaves AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, v.ends AS ends_sha256
+FROM v JOIN below USING (d, key) LEFT JOIN m q ON q.conv_id = v.owner AND q.d = v.d - 1
+LEFT JOIN v u ON u.d = v.d - 1 AND u.key = q.key
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_license_scan": op2_license_scan,
@@ -297,6 +356,7 @@ QUERIES: dict[str, Query] = {
     "op10_lm_scoring": op10_lm_scoring,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
+    "op11_conversation_prefix_trie": op11_conversation_prefix_trie,
 }
 SQL: dict[str, str] = {
     "op3_chat_formatting": OP3_SQL,
@@ -304,4 +364,5 @@ SQL: dict[str, str] = {
     "op9_quality_rules": _op9_sql(),
     "op8_benchmark_decontamination": OP8_SQL,
     "op7_ngram_jaccard_join": OP7_SQL,
+    "op11_conversation_prefix_trie": OP11_SQL,
 }
