@@ -20,6 +20,7 @@ from .mixing import Mixing, mix, text_form
 from .ngram_join import NgramJoin, ngram_join
 from .prefix_trie import PrefixTrie, prefix_trie, turn_digests, with_conversation
 from .quality_rules import RULES, SYMBOLS, QualityRules, quality_rules
+from .sharding import Sharding, shard
 from .token_counts import bpe_counts, commit, deletes, inserts, revisions, totals, word_counts
 from .url_filter import UrlFilter, url_filter
 
@@ -345,6 +346,57 @@ FROM v JOIN below USING (d, key) LEFT JOIN m q ON q.conv_id = v.owner AND q.d =
 LEFT JOIN v u ON u.d = v.d - 1 AND u.key = q.key
 """
 
+
+SHARDING = Sharding(shards=16)
+
+
+def op13_kd_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return shard(table(spark, folder, "documents"), SHARDING).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def _op13_sql(how: Sharding = SHARDING) -> str:
+    """The same cuts, one common table expression per level."""
+    dims = range(len(how.dimensions))
+    shown = [f"coalesce(CAST({d} AS VARCHAR), '')" if d != "size" else "size" for d in how.dimensions]
+    levels = []
+    for i in range((how.shards - 1).bit_length()):
+        node = "PARTITION BY first, k"
+        widths = [f"(max(r{d}) OVER ({node}) - min(r{d}) OVER ({node})) / greatest((SELECT max(r{d}) FROM l0), 1)" for d in dims]
+        most = "greatest(" + ", ".join(f"w{d}" for d in dims) + ")"
+        levels.append(f"""
+a{i} AS (SELECT *, {", ".join(f"{w} AS w{d}" for d, w in zip(dims, widths))}, sum(size) OVER ({node}) AS total FROM l{i}),
+b{i} AS (SELECT *, total * (k // 2) / k AS wanted, CASE {" ".join(f"WHEN w{d} = {most} THEN r{d}" for d in dims)} END AS c FROM a{i}),
+c{i} AS (SELECT *, sum(size) OVER ({node} ORDER BY c, md5, doc_id ROWS UNBOUNDED PRECEDING) AS upto FROM b{i}),
+d{i} AS (SELECT *, min(upto - size) OVER (PARTITION BY first, k, c, md5) AS lo, max(upto) OVER (PARTITION BY first, k, c, md5) AS hi FROM c{i}),
+e{i} AS (SELECT *, CASE WHEN upto - size < wanted AND upto >= wanted THEN
+  CASE WHEN hi - lo > (SELECT sum(size) FROM l0) * {how.whole_percent / 100 / how.shards} OR (lo = 0 AND hi = total)
+    THEN CASE WHEN wanted - (upto - size) <= upto - wanted THEN upto - size ELSE upto END
+    ELSE CASE WHEN wanted - lo <= hi - wanted THEN lo ELSE hi END END END AS cut FROM d{i}),
+f{i} AS (SELECT *, k = 1 OR upto <= max(cut) OVER ({node}) AS below FROM e{i}),
+l{i + 1} AS (SELECT doc_id, size, crc, md5, {", ".join(f"r{d}" for d in dims)},
+  CASE WHEN below THEN first ELSE first + k // 2 END AS first,
+  CASE WHEN k = 1 THEN 1 WHEN below THEN k // 2 ELSE k - k // 2 END AS k FROM f{i})""")
+    last = (how.shards - 1).bit_length()
+    return f"""
+WITH {_CRC_TABLE},
+t AS (SELECT doc_id, source, lang, coalesce(text, '') AS text, strlen(coalesce(text, '')) + 1 AS size FROM documents),
+v AS (SELECT doc_id, size, {_crc32("text")} AS crc, md5(text) AS md5,
+  {", ".join(f"min({s}) OVER (PARTITION BY md5(text)) AS v{d}" for d, s in zip(dims, shown))} FROM t, crc),
+l0 AS MATERIALIZED (SELECT doc_id, size, crc, md5, {", ".join(f"dense_rank() OVER (ORDER BY v{d}) - 1 AS r{d}" for d in dims)},
+  0 AS first, {how.shards} AS k FROM v),{",".join(levels)}
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(crc AS BIGINT) AS text_crc32, 'bytes' AS law, CAST(first AS INTEGER) AS shard,
+  row_number() OVER (PARTITION BY first ORDER BY md5, doc_id) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM l{last}
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_license_scan": op2_license_scan,
@@ -357,6 +409,7 @@ QUERIES: dict[str, Query] = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op11_conversation_prefix_trie": op11_conversation_prefix_trie,
+    "op13_kd_sharding": op13_kd_sharding,
 }
 SQL: dict[str, str] = {
     "op3_chat_formatting": OP3_SQL,
@@ -365,4 +418,5 @@ SQL: dict[str, str] = {
     "op8_benchmark_decontamination": OP8_SQL,
     "op7_ngram_jaccard_join": OP7_SQL,
     "op11_conversation_prefix_trie": OP11_SQL,
+    "op13_kd_sharding": _op13_sql(),
 }
