@@ -21,6 +21,7 @@ from .ngram_join import NgramJoin, ngram_join
 from .prefix_trie import PrefixTrie, prefix_trie, turn_digests, with_conversation
 from .quality_rules import RULES, SYMBOLS, QualityRules, quality_rules
 from .sharding import Sharding, shard
+from .spelling import RUN, Spelling, runs, spelling_variants, vocabulary
 from .token_counts import bpe_counts, commit, deletes, inserts, revisions, totals, word_counts
 from .url_filter import UrlFilter, url_filter
 
@@ -397,6 +398,41 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(crc AS BIGINT) AS text_crc32,
 """
 
 
+
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Some runs lose a letter first, by hash of document and run."""
+    words = runs(table(spark, folder, "documents"))
+    h = F.crc32(F.concat(F.coalesce("doc_id", F.lit("")), F.lit(":"), F.col("word")))
+    at = (h % F.length("word")).cast("int")
+    shorter = F.concat(F.substring("word", F.lit(1), at), F.substring("word", at + 2, F.length("word")))
+    changed = words.select(F.when(h % 97 == 0, shorter).otherwise(F.col("word")).alias("word"))
+    return spelling_variants(vocabulary(changed))
+
+
+def _op12_sql(how: Spelling = Spelling()) -> str:
+    run = RUN.replace("\\u00C0", "\u00C0").replace("\\u00FF", "\u00FF")
+    return f"""
+WITH RECURSIVE {_CRC_TABLE},
+r AS (SELECT doc_id, unnest(regexp_extract_all({_LOWERED}, '{run}')) AS run FROM documents),
+g AS (SELECT doc_id, run, count(*) AS n FROM r GROUP BY ALL),
+h AS (SELECT run, n, {_crc32("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run")} AS h FROM g, crc),
+x AS (SELECT n, CASE WHEN h % 97 = 0 THEN substr(run, 1, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2) ELSE run END AS word FROM h),
+v AS MATERIALIZED (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM x WHERE length(word) >= {how.min_letters} GROUP BY word HAVING sum(n) >= {how.min_count}),
+d AS MATERIALIZED (SELECT word, n, p, substr(word, 1, p - 1) || substr(word, p + 1) AS rest
+  FROM (SELECT *, unnest(range(1, length(word) + 1)) AS p FROM v)),
+longer AS (SELECT DISTINCT d.word AS a, d.n AS an, v.word AS b, v.n AS bn FROM d JOIN v ON v.word = d.rest),
+near AS (SELECT a.word AS a, b.word AS b, b.n AS n FROM d a JOIN d b ON a.p = b.p AND a.rest = b.rest AND a.word <> b.word
+  UNION ALL SELECT a, b, bn FROM longer UNION ALL SELECT b, a, an FROM longer),
+best AS (SELECT a, count(*) AS n_near, max(n) AS form_n, arg_min(b, (-n, b)) AS form FROM near GROUP BY a),
+f AS MATERIALIZED (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= {how.ratio} * n THEN form END AS form,
+  CASE WHEN form_n >= {how.ratio} * n THEN form_n END AS form_n FROM v LEFT JOIN best ON a = word),
+w AS (SELECT word, form AS t, 1 AS k FROM f WHERE form IS NOT NULL
+  UNION ALL SELECT w.word, f.form, k + 1 FROM w JOIN f ON f.word = w.t WHERE f.form IS NOT NULL),
+roots AS (SELECT word, arg_max(t, k) AS root FROM w GROUP BY word)
+SELECT word, n, n_near, form, form_n, coalesce(root, word) AS root FROM f LEFT JOIN roots USING (word)
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_license_scan": op2_license_scan,
@@ -409,6 +445,7 @@ QUERIES: dict[str, Query] = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op11_conversation_prefix_trie": op11_conversation_prefix_trie,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_kd_sharding": op13_kd_sharding,
 }
 SQL: dict[str, str] = {
@@ -418,5 +455,6 @@ SQL: dict[str, str] = {
     "op8_benchmark_decontamination": OP8_SQL,
     "op7_ngram_jaccard_join": OP7_SQL,
     "op11_conversation_prefix_trie": OP11_SQL,
+    "op12_spelling_variants": _op12_sql(),
     "op13_kd_sharding": _op13_sql(),
 }
