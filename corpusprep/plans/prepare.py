@@ -31,13 +31,14 @@ RECORD_COLUMNS = [
 
 @dataclass(frozen=True)
 class PrepareConfig:
-    """``root`` is the folder or bucket that was scanned: file paths then become object keys below it."""
+    """``root`` is the folder or bucket that was scanned: file paths become object keys below it. None says that they
+    are object keys already; scanned files have URIs, whose names and datasets would not be found."""
 
+    root: str | None
     clean: CleanConfig = field(default_factory=CleanConfig)
     allowed_status: str = "cleaned"
     min_valid_chars: int = 1
     prefer_csv: bool = False
-    root: str | None = None
 
 
 @dataclass
@@ -85,7 +86,7 @@ def prepare(
     existing: DataFrame,
     datasets: DataFrame,
     run_at: Column,
-    config: PrepareConfig = PrepareConfig(),
+    config: PrepareConfig,
     stage: str | None = None,
     profiles: DataFrame | None = None,
     headers: list[str] | None = None,

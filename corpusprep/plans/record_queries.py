@@ -337,7 +337,7 @@ def prepare_docs(t: Tables) -> DataFrame:
         labelled_documents(t),
         language_datasets(t),
         F.lit(RUN_AT),
-        PrepareConfig(clean=rules),
+        PrepareConfig(root=None, clean=rules),
         stage=work_path(t.spark, "prepare"),
     )
     return outputs.documents.select(

@@ -14,7 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
 
-MODULES = ["text_queries", "record_queries", "table_queries", "metric_queries", "label_queries", "stream_queries"]
+MODULES = ["text_queries", "record_queries", "table_queries", "metric_queries", "label_queries", "stream_queries", "file_queries"]
 
 
 class Tables:

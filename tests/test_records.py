@@ -172,7 +172,7 @@ def test_prepare_end_to_end(spark, tmp_path):
     known = spark.createDataFrame([(hashlib.sha256((thai + "ใหม่").encode()).hexdigest(),)], "checksum string")
     results = []
     for stage in (None, str(tmp_path / "stage")):
-        out = prepare(spark.createDataFrame(rows, schema), side, known, sets, F.lit(AT), PrepareConfig(), stage)
+        out = prepare(spark.createDataFrame(rows, schema), side, known, sets, F.lit(AT), PrepareConfig(root=None), stage)
         docs = out.documents.withColumn("m", F.to_json("metadata")).drop("metadata").orderBy("line_no").collect()
         results.append([(r.title, r.source, r.dataset_id, r.status, r.language, json.loads(r.m)) for r in docs])
         counts = {name: {r.file_path: r.asDict() for r in c.collect()} for name, c in out.counters.items()}
@@ -204,7 +204,7 @@ def test_prepare_with_language_profiles(spark, tmp_path):
         spark.createDataFrame([], "checksum string"),
         spark.createDataFrame([], "id string, name string"),
         F.lit(AT),
-        PrepareConfig(clean=CleanConfig(min_ratio=0.0)),
+        PrepareConfig(root=None, clean=CleanConfig(min_ratio=0.0)),
         str(tmp_path / "stage"),
         language_profiles(train, "lang", "text"),
     )
