@@ -93,7 +93,7 @@ def prepare(
 ) -> Outputs:
     """Clean, validate, map and keep what is new.
 
-    ``stage`` is a folder for the two wide intermediate tables. Duplicate checks read a step twice (once narrow for
+    ``stage`` is a folder for the three wide intermediate tables. Duplicate checks read a step twice (once narrow for
     the keys, once whole), so at scale give a folder: the text is then cleaned once. ``profiles`` turns on language
     identification for texts the script ratio leaves open. ``headers`` comes from the side table's reader.
     """
@@ -122,9 +122,17 @@ def prepare(
         config.min_valid_chars,
     )
     checked = _staged(checked, stage, "checked")
+    if stage is not None:
+        # The cleaned rows are in the stored step: their duplicates are not looked for again by whoever reads them.
+        passed = F.col("clean_reason") == ""
+        cleaned = (
+            checked.withColumn("reason", F.col("clean_reason"))
+            .withColumn("status", F.when(passed, "cleaned").otherwise("failed"))
+            .select(*cleaned.columns)
+        )
 
     accepted = checked.filter("reason IS NULL")
-    mapped = enrich.map_metadata(accepted, url_map, ["id"], config.prefer_csv)
+    mapped = _staged(enrich.map_metadata(accepted, url_map, ["id"], config.prefer_csv), stage, "mapped")
     located = enrich.resolve_dataset(mapped, datasets, "file_path", ["id"])
     position = F.format_string("%s\u0001%012d", F.col("file_path"), F.col("line_no"))
     batch = ingest.with_defaults(located.withColumn("_position", position))
