@@ -5,6 +5,8 @@ Inputs a stream needs as files (JSON lines, several drops) are first written by
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,8 +14,9 @@ from ..functions import text
 from ..operators import chat, ingest
 from ..session import work_path
 from ..sources import jsonl
+from ..sources.keyed_table import KeyedTable, newest_wins
 from ..streaming import files, windows
-from .metric_queries import SQL_STAMP, stamp
+from .metric_queries import SQL_STAMP, STAMP, stamp
 from .record_queries import chat_rows
 from .registry import Tables, query
 
@@ -32,6 +35,21 @@ def event_stream(t: Tables) -> DataFrame:
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+def kept_up(t: Tables, windows_of: Callable[[DataFrame], DataFrame], keys: list[str], name: str) -> DataFrame:
+    """The events in two files, in order of time, with a restart between them; the windows a micro-batch changed are
+    merged into a keyed table, which holds the open ones too."""
+    folder, checkpoint = work_path(t.spark, f"{name}-files"), work_path(t.spark, f"{name}-checkpoint")
+    events = t.events.select("event_id", "event_type", "ts")
+    middle = events.agg(F.percentile_approx(F.unix_micros("ts"), 0.5)).first()[0] or 0
+    table = None
+    for part in (F.unix_micros("ts") < middle, F.unix_micros("ts") >= middle):
+        events.filter(part).coalesce(1).write.mode("append").parquet(folder)
+        counts = windows_of(files.stream_table(t.spark, folder, events.schema))
+        table = table or KeyedTable(t.spark, work_path(t.spark, name), counts.schema, keys, buckets=4)
+        files.merge_stream(counts, table, newest_wins(keys), checkpoint, name, "update")
+    return table.read()
+
+
 def drained(t: Tables, df: DataFrame, name: str) -> DataFrame:
     """Run a stream into a Parquet folder and read the folder."""
     target, checkpoint = work_path(t.spark, name), work_path(t.spark, f"{name}-checkpoint")
@@ -104,15 +122,17 @@ def stream_new_files(t: Tables) -> DataFrame:
     "stream_daily_counts",
     """
     SELECT event_type, strftime(ts, '%Y-%m-%d') AS day, count(*) AS n_events FROM events
-    GROUP BY event_type, day HAVING date_trunc('day', max(ts)) + INTERVAL 1 DAY
-      <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR
+    GROUP BY event_type, day
     """,
 )
 def stream_daily_counts(t: Tables) -> DataFrame:
-    """Days the watermark has passed; the last day is still open."""
-    counts = windows.daily_counts(event_stream(t), "ts", ["event_type"], "n_events", late="1 hour")
-    closed = drained(t, counts, "daily")
-    return closed.select("event_type", F.date_format("window_start", "yyyy-MM-dd").alias("day"), "n_events")
+    """Days as they are counted, the last one still open."""
+
+    def counts(events: DataFrame) -> DataFrame:
+        return windows.daily_counts(events, "ts", ["event_type"], "n_events", late="1 hour")
+
+    days = kept_up(t, counts, ["event_type", "window_start"], "daily")
+    return days.select("event_type", F.date_format("window_start", "yyyy-MM-dd").alias("day"), "n_events")
 
 
 @query(
@@ -122,36 +142,45 @@ def stream_daily_counts(t: Tables) -> DataFrame:
            count(*) / 60::DOUBLE AS per_second
     FROM (SELECT event_type, (floor(epoch(ts) / 15) * 15)::BIGINT - k * 15 AS w
           FROM events, (SELECT unnest([0, 1, 2, 3]) AS k))
-    WHERE make_timestamp((w + 60) * 1000000) <= (SELECT date_trunc('milliseconds', max(ts)) FROM events) - INTERVAL 1 HOUR
     GROUP BY ALL
     """,
 )
 def stream_sliding_rate(t: Tables) -> DataFrame:
-    rates = windows.sliding_rate(event_stream(t), "ts", ["event_type"], 60, 15, late="1 hour")
-    closed = drained(t, rates, "sliding")
-    return closed.select("event_type", stamp("window_start").alias("window_start"), "n_events", "per_second")
+    def rates(events: DataFrame) -> DataFrame:
+        return windows.sliding_rate(events, "ts", ["event_type"], 60, 15, late="1 hour")
+
+    return kept_up(t, rates, ["event_type", "window_start"], "sliding").select("event_type", stamp("window_start").alias("window_start"), "n_events", "per_second")
 
 
 @query(
     "stream_batches",
     f"""
     WITH marked AS (
-      SELECT event_type, ts, event_id, coalesce(epoch_us(ts) - epoch_us(lag(ts) OVER w) > 900000000, TRUE) AS starts
+      SELECT event_type, ts, event_id, coalesce(epoch_us(ts) - epoch_us(lag(ts) OVER w) >= 900000000, TRUE) AS starts
       FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id)),
     numbered AS (
       SELECT *, sum(starts::INT) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS island
       FROM marked)
     SELECT event_type, strftime(min(ts), '{SQL_STAMP}') AS first_arrival,
-           strftime(max(ts) + INTERVAL 15 MINUTE, '{SQL_STAMP}') AS closed_at, count(*) AS n_objects
+           strftime(max(ts) + INTERVAL 15 MINUTE, '{SQL_STAMP}') AS closes_at, count(*) AS n_objects,
+           epoch_ms(max(ts) + INTERVAL 15 MINUTE) <= (SELECT epoch_ms(max(ts) - INTERVAL 1 HOUR) FROM events) AS closed
     FROM numbered GROUP BY event_type, island
-    HAVING max(ts) + INTERVAL 15 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR
     """,
 )
 def stream_batches(t: Tables) -> DataFrame:
-    sessions = windows.quiet_sessions(event_stream(t), "ts", ["event_type"], "15 minutes", "n_objects", late="1 hour")
-    closed = drained(t, sessions, "sessions")
-    return closed.select(
-        "event_type", stamp("window_start").alias("first_arrival"), stamp("window_end").alias("closed_at"), "n_objects"
+    """Batches with state of their own, closed by timers; those still open are in the table too."""
+
+    def batches(events: DataFrame) -> DataFrame:
+        return windows.quiet_batches_with_open(events, "ts", "event_type", 900, "n_objects", "1 hour")
+
+    with files.rocksdb_state(t.spark):
+        found = kept_up(t, batches, ["event_type", "first_arrival"], "sessions").filter("n_objects > 0")
+    return found.select(
+        "event_type",
+        stamp("first_arrival").alias("first_arrival"),
+        F.date_format(F.col("last_arrival") + F.expr("INTERVAL 15 MINUTES"), STAMP).alias("closes_at"),
+        "n_objects",
+        "closed",
     )
 
 
@@ -185,13 +214,9 @@ def stream_upsert(t: Tables) -> DataFrame:
         F.col("event_id").alias("first_seq"),
     )
     rows.repartition(4, "seq").write.parquet(folder)
-    labels_table = files.SnapshotTable(t.spark, table, t.spark.createDataFrame([], rows.schema))
+    labels_table = KeyedTable(t.spark, table, rows.schema, ["target_id", "label_type"])
     stream = files.stream_table(t.spark, folder, rows.schema, files_per_batch=1)
-
-    def rule(existing: DataFrame, batch: DataFrame) -> DataFrame:
-        return ingest.merge_labels(existing, batch)
-
-    labels_table.merge(stream, rule, work_path(t.spark, "label-checkpoint"))
+    files.merge_stream(stream, labels_table, ingest.merge_labels, work_path(t.spark, "label-checkpoint"), "labels")
     return labels_table.read().select("target_id", "label_type", "label_value", "confidence", "annotator", "seq")
 
 

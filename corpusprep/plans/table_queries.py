@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import ingest, quality
+from ..session import materialize, work_path
+from ..sources.keyed_table import KeyedTable, newest_wins
 from ..sources.tables import prefer_mapped as take_mapped
 from .record_queries import SQL_EXISTING, labelled_documents
 from .registry import Tables, query
@@ -191,8 +193,12 @@ def loaded_documents(t: Tables) -> DataFrame:
     """,
 )
 def upsert_docs(t: Tables) -> DataFrame:
-    merged = ingest.upsert_rows(loaded_documents(t), batch_documents(t))
-    return merged.select("id", "checksum", "source", "word_count")
+    """Loaded into a keyed table first; the batch then rewrites the buckets it may touch."""
+    loaded = materialize(loaded_documents(t))
+    table = KeyedTable(t.spark, work_path(t.spark, "documents-table"), loaded.schema, ["checksum"], spread_by="id")
+    table.merge("load", loaded, newest_wins(["checksum"]))
+    table.merge("batch", batch_documents(t), ingest.upsert_rows)
+    return table.read().select("id", "checksum", "source", "word_count")
 
 
 @query(

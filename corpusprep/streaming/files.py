@@ -1,12 +1,13 @@
 """File streams: rewriting objects, picking up new files once, keyed upserts per micro-batch.
 
-All jobs run with the ``availableNow`` trigger: they take what is there, in bounded batches, and stop. Run them
-again with the same checkpoint folder and only new files are read.
+All jobs run with the ``availableNow`` trigger: they take what is there and stop; ``files_per_batch`` bounds what one
+micro-batch takes. Run them again with the same checkpoint folder and only new files are read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,22 @@ from pyspark.sql.types import StructType
 from ..functions.metadata import METADATA, put
 from ..functions.text import BLANKS
 from ..sources.jsonl import field, json_value
+from ..sources.keyed_table import KeyedTable, Rule
+
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state in RocksDB, which own state needs; the session's setting is put back."""
+    before = spark.conf.get(_PROVIDER, None)
+    spark.conf.set(_PROVIDER, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(_PROVIDER, before) if before else spark.conf.unset(_PROVIDER)
 
 
 def run_to_end(writer: DataStreamWriter, path: str | None = None) -> StreamingQuery:
@@ -35,9 +52,12 @@ def stream_table(
     return reader.parquet(folder)
 
 
-def stream_lines(spark: SparkSession, folder: str, glob: str = "*.jsonl") -> DataFrame:
+def stream_lines(spark: SparkSession, folder: str, glob: str = "*.jsonl", files_per_batch: int | None = None) -> DataFrame:
     """Lines of a folder's text files as a stream, with their file; blank lines are skipped."""
-    lines = spark.readStream.option("pathGlobFilter", glob).text(folder)
+    reader = spark.readStream.option("pathGlobFilter", glob)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    lines = reader.text(folder)
     with_file = lines.select("value", F.col("_metadata.file_path").alias("file_path"))
     return with_file.filter(F.btrim("value", F.lit(BLANKS)) != "")
 
@@ -72,42 +92,16 @@ def append_new_files(df: DataFrame, target: str, checkpoint: str) -> StreamingQu
     return run_to_end(df.writeStream.format("parquet").option("checkpointLocation", checkpoint), target)
 
 
-class SnapshotTable:
-    """A keyed table kept as one Parquet snapshot per micro-batch.
+def merge_stream(stream: DataFrame, table: KeyedTable, rule: Rule, checkpoint: str, name: str, mode: str = "append") -> StreamingQuery:
+    """Run ``rule(existing, batch)`` on a keyed table for every micro-batch of the stream.
 
-    Batch n merges into snapshot n - 1 and overwrites snapshot n, so a batch that is run again after a failure gives
-    the same result. ``base`` starts a new table; a folder that already holds finished snapshots goes on from the
-    newest, which must belong to the same stream checkpoint.
+    A batch that is delivered again after a failure has the same name, ``name`` and its number, and is merged once; a
+    new checkpoint needs a new name. ``mode`` is the stream's output mode: with "update" a batch holds the rows that
+    changed, windows that are still open included.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, base: DataFrame):
-        self.spark = spark
-        self.folder = folder.rstrip("/")
-        self.schema = base.schema
-        found = self._finished()
-        if not found:
-            base.write.mode("overwrite").parquet(self._path(-1))
-        self.version = max(found, default=-1)
-
-    def _finished(self) -> list[int]:
-        """Versions whose write was committed."""
-        pattern = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/snapshot-*/_SUCCESS")
-        files = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
-        names = [file.getPath().getParent().getName() for file in files]
-        return [int(name.removeprefix("snapshot-")) - 1 for name in names]
-
-    def _path(self, version: int) -> str:
-        return f"{self.folder}/snapshot-{version + 1}"
-
-    def read(self, version: int | None = None) -> DataFrame:
-        chosen = self.version if version is None else version
-        return self.spark.read.schema(self.schema).parquet(self._path(chosen))
-
-    def merge(self, stream: DataFrame, rule: Callable[[DataFrame, DataFrame], DataFrame], checkpoint: str):
-        """Run ``rule(existing, batch)`` for every micro-batch of the stream."""
-
-        def apply(batch: DataFrame, batch_id: int) -> None:
-            rule(self.read(batch_id - 1), batch).write.mode("overwrite").parquet(self._path(batch_id))
-            self.version = batch_id
-
-        return run_to_end(stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint))
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        table.merge(f"{name}-{batch_id}", batch, rule)
+
+    writer = stream.writeStream.outputMode(mode).foreachBatch(apply).option("checkpointLocation", checkpoint)
+    return run_to_end(writer)
