@@ -1,14 +1,22 @@
-"""Language identification by ranked character n-grams (Cavnar and Trenkle, 1994)."""
+"""Language identification by ranked character n-grams (profiles as of Cavnar and Trenkle, 1994)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .keyed import measured_lookup
+from ..session import materialize
+from .keyed import salted_lookup
 
 SIZE = 3
+#: Grams a language's profile keeps: the model's size. Texts are never cut.
 TOP = 300
+#: Profiles up to this size are sent to every task.
+SENT_BYTES = 16 << 20
+#: Positions of a batch that are looked up at a time.
+CHUNK = 1 << 20
 
 
 def gram_counts(df: DataFrame, by: str, text: str) -> DataFrame:
@@ -16,10 +24,10 @@ def gram_counts(df: DataFrame, by: str, text: str) -> DataFrame:
 
     Grams of a row are counted inside its task first, so the shuffle carries distinct grams, not characters.
     """
-    letters = F.concat(F.lit(" "), F.regexp_replace(F.lower(F.col(text)), "[^\\p{L}\\p{M}]+", " "), F.lit(" "))
-    padded = F.regexp_replace(letters, " +", " ")
-    # A look-ahead matches at every position, so one pass over the text lists all overlapping grams.
-    grams = F.regexp_extract_all(padded, F.lit("(?=(" + "." * SIZE + "))"), F.lit(1))
+    padded = _padded(F.col(text))
+    # A look-ahead matches at every position, so one pass over the text lists all overlapping grams; none starts in the
+    # middle of a code point.
+    grams = F.regexp_extract_all(padded, F.lit("(?!\\p{Cs})(?=(" + "." * SIZE + "))"), F.lit(1))
     exploded = df.select(by, F.explode(grams).alias("gram"))
     return exploded.groupBy(by, "gram").agg(F.count("*").alias("n"))
 
@@ -36,21 +44,114 @@ def language_profiles(df: DataFrame, language: str, text: str, top: int = TOP) -
     return profiles.select(F.col(language).alias("lang"), "gram", F.col("rank").alias("lang_rank"))
 
 
-def identify(df: DataFrame, row_id: str, text: str, profiles: DataFrame, top: int = TOP) -> DataFrame:
-    """``row_id, language, distance``: the profile with the smallest out-of-place distance.
+def _gain(top: int) -> Column:
+    """What one occurrence of a gram is worth: ``top`` for a language's most frequent gram, 1 for its last ranked one."""
+    return (F.lit(top + 1) - F.col("lang_rank")).cast("long")
 
-    A gram missing from a profile costs ``top``. Instead of pairing every document with every language, the cost is
-    written as top * grams - sum(top - |difference|) over grams both have. Texts without any gram, or sharing none
-    with any profile, get ``und``.
-    """
-    document = ranked(gram_counts(df, row_id, text), row_id, top)
-    gain = F.lit(top) - F.abs(F.col("rank") - F.col("lang_rank"))
-    # A left join keeps unmatched grams: a text's highest rank is its number of grams, so one pass gives both sums.
-    shared = measured_lookup(document, profiles, ["gram"], [row_id])
-    per_language = shared.groupBy(row_id, "lang").agg(F.sum(gain).alias("_gain"), F.max("rank").alias("_rank"))
-    known = F.when(F.col("lang").isNotNull(), F.struct(F.col("_gain"), F.col("lang")))
-    per_text = per_language.groupBy(row_id).agg(F.max("_rank").alias("_grams"), F.max(known).alias("_top"))
-    distance = F.lit(top) * F.col("_grams") - F.col("_top._gain")
-    return df.select(row_id).join(per_text, row_id, "left").select(
+
+def identify_joined(df: DataFrame, row_id: str, text: str, profiles: DataFrame, top: int = TOP) -> DataFrame:
+    """:func:`identify` for profiles too large to send to every task: grams are counted per text and joined."""
+    counts = gram_counts(df, row_id, text)
+    shared = salted_lookup(counts, _by_gram(profiles, top), ["gram"], [row_id])
+    one = F.explode_outer("langs").alias("_l")
+    per_language = shared.select(row_id, "n", one).groupBy(row_id, F.col("_l.lang").alias("lang"))
+    sums = per_language.agg(F.sum(F.col("n") * F.col("_l.gain")).alias("gain"))
+    known = F.when(F.col("lang").isNotNull(), F.struct("gain", "lang"))
+    best = sums.groupBy(row_id).agg(F.max(known).alias("_top"))
+    size = counts.groupBy(row_id).agg(F.sum("n").alias("_grams"))
+    distance = F.lit(top) * F.col("_grams") - F.col("_top.gain")
+    return df.select(row_id).join(best.join(size, row_id), row_id, "left").select(
         row_id, F.coalesce("_top.lang", F.lit("und")).alias("language"), distance.cast("long").alias("distance")
     )
+
+
+def _by_gram(profiles: DataFrame, top: int) -> DataFrame:
+    return profiles.groupBy("gram").agg(F.collect_list(F.struct("lang", _gain(top).alias("gain"))).alias("langs"))
+
+
+def _padded(text: Column) -> Column:
+    letters = F.concat(F.lit(" "), F.regexp_replace(F.lower(text), "[^\\p{L}\\p{M}]+", " "), F.lit(" "))
+    return F.regexp_replace(letters, " +", " ")
+
+
+def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of all texts in one array, and where each text starts."""
+    starts = np.zeros(len(texts) + 1, np.int64)
+    np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)), out=starts[1:])
+    return np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32), starts
+
+
+def _gram_ids(codes: np.ndarray) -> np.ndarray:
+    """A number per position, one for each gram that starts there: three code points of 21 bits."""
+    wide = codes.astype(np.int64)
+    return wide[:-2] << 42 | wide[1:-1] << 21 | wide[2:]
+
+
+def _scorer(rows: list[tuple[str, str, int]], top: int):
+    """``struct<language, distance>`` of padded texts, null for a null text. ``rows`` are the profiles (lang, gram, gain).
+
+    The weights of all languages are one table by gram; a batch is looked up some 2^20 positions at a time.
+    """
+    langs = sorted({r[0] for r in rows}, reverse=True)  # of equal sums the first, the greater name, is taken
+    ids = _gram_ids(_codes([r[1] for r in rows])[0])[::SIZE] if rows else np.zeros(0, np.int64)
+    grams, at = np.unique(ids, return_inverse=True)
+    weights = np.zeros((len(grams) + 1, max(len(langs), 1)), np.int64)  # the last row: a gram no profile has
+    for k, (lang, _, gain) in zip(at, rows):
+        weights[k, langs.index(lang)] = gain
+
+    def score(texts: pd.Series) -> pd.DataFrame:
+        given = [t or "" for t in texts]
+        codes, starts = _codes(given)
+        sums = np.zeros((len(given), weights.shape[1]), np.int64)
+        for low in range(0, max(len(codes) - SIZE + 1, 0), CHUNK):
+            found = _gram_ids(codes[low : low + CHUNK + SIZE - 1])
+            positions = np.arange(low, low + len(found))
+            row = np.searchsorted(starts, positions, side="right") - 1
+            inside = positions + SIZE <= starts[row + 1]
+            found, row = found[inside], row[inside]
+            if not len(grams) or not len(found):
+                continue
+            k = np.minimum(np.searchsorted(grams, found), len(grams) - 1)
+            k = np.where(grams[k] == found, k, len(grams))
+            edges = np.flatnonzero(np.diff(row, prepend=-1))
+            sums[row[edges]] += np.add.reduceat(weights[k], edges, axis=0)
+        sizes = np.maximum(np.diff(starts) - SIZE + 1, 0)
+        best = sums.argmax(axis=1)
+        most = sums[np.arange(len(given)), best]
+        return pd.DataFrame(
+            {
+                "language": [None if t is None else langs[b] if m else "und" for t, b, m in zip(texts, best, most)],
+                "distance": pd.array([int(top * n - m) if m else None for n, m in zip(sizes, most)], "Int64"),
+            }
+        )
+
+    return F.pandas_udf(score, "language string, distance long")
+
+
+def language_of(text: Column, profiles: list[tuple[str, str, int]], top: int = TOP) -> Column:
+    """``struct<language, distance>`` of a text, found inside the row: no gram is shuffled. Null for a null text.
+
+    ``profiles`` are (lang, gram, gain) as :func:`sendable` returns them.
+    """
+    return _scorer(profiles, top)(F.when(text.isNotNull(), _padded(text)))
+
+
+def sendable(profiles: DataFrame, top: int = TOP) -> list[tuple[str, str, int]] | None:
+    """The profiles as rows for :func:`language_of`, or None if they have more than ``SENT_BYTES``."""
+    rows = materialize(profiles.select("lang", "gram", _gain(top).alias("gain")))
+    size = rows.agg(F.sum(F.octet_length("lang") + F.octet_length("gram") + 8)).first()[0] or 0
+    return [tuple(r) for r in rows.collect()] if size <= SENT_BYTES else None
+
+
+def identify(df: DataFrame, row_id: str, text: str, profiles: DataFrame, top: int = TOP) -> DataFrame:
+    """``row_id, language, distance``: the language whose profile gives the text's grams the most weight.
+
+    Every gram of the whole text counts, as often as it occurs: ``top`` for a language's most frequent gram, 1 less for
+    each further rank, nothing for a gram its profile does not have. The distance is ``top`` times the number of grams
+    less that sum. Of equal languages the greater name is taken; texts without any known gram get ``und``.
+    """
+    rows = sendable(profiles, top)
+    if rows is None:
+        return identify_joined(df, row_id, text, profiles, top)
+    body = F.coalesce(F.col(text), F.lit(""))
+    return df.select(row_id, language_of(body, rows, top).alias("_l")).select(row_id, "_l.language", "_l.distance")

@@ -37,7 +37,8 @@ def counter_deltas(df: DataFrame, keys: list[str], ts: str, value: str) -> DataF
     rows = with_previous(cut(df, keys, [ts]), keys, [ts], {"_previous": value})
     grown = F.col(value) - F.col("_previous")
     delta = F.when(grown < 0, F.col(value)).otherwise(grown)
-    return rows.withColumn("delta", F.coalesce(delta, F.lit(0.0))).drop("_previous", "_bucket")
+    none = F.lit(0).cast(df.schema[value].dataType)
+    return rows.withColumn("delta", F.coalesce(delta, none)).drop("_previous", "_bucket")
 
 
 def counter_rate(df: DataFrame, keys: list[str], ts: str, value: str, seconds: int) -> DataFrame:
@@ -46,6 +47,24 @@ def counter_rate(df: DataFrame, keys: list[str], ts: str, value: str, seconds: i
     return summed.withColumn("per_second", F.col("_growth") / F.lit(seconds)).drop("_growth", "delta")
 
 
+def trailing_increase(df: DataFrame, keys: list[str], ts: str, value: str, seconds: int, out: str = "increase") -> DataFrame:
+    """Add the growth over the trailing window of every sample."""
+    return trailing_sum(counter_deltas(df, keys, ts, value), keys, ts, "delta", seconds, out).drop("delta")
+
+
+def rate_ratio(
+    df: DataFrame, keys: list[str], ts: str, value: str, seconds: int, by: list[str], part: Column, out: str = "ratio"
+) -> DataFrame:
+    """Summed windowed rate of some series over that of all, per time and the labels ``by``.
+
+    Both sums belong to equal labels, so one aggregation gives them; null where nothing grew or no series is in part.
+    """
+    grown = trailing_increase(df, keys, ts, value, seconds, "_growth")
+    sums = grown.groupBy(*by, ts).agg(F.sum(F.when(part, F.col("_growth"))).alias("_part"), F.sum("_growth").alias("_whole"))
+    per_second = [F.col(c) / F.lit(seconds) for c in ("_part", "_whole")]
+    return sums.select(*by, ts, ratio(*per_second).alias(out))
+
+
 def counter_increase(df: DataFrame, keys: list[str], ts: str, value: str, unit: str = "day") -> DataFrame:
     """Growth per calendar unit and series."""
     deltas = counter_deltas(df, keys, ts, value)

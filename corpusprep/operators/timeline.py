@@ -74,25 +74,29 @@ def carry_last(rows: DataFrame, keys: list[str], order: list[str], value: str, o
 def trailing_sum(df: DataFrame, keys: list[str], ts: str, value: str, seconds: int, out: str) -> DataFrame:
     """Add the sum of ``value`` over the samples with time in (t - seconds, t] for every sample.
 
-    It is the total at t less the total at t - seconds. Each sample also asks for the latter: samples and questions
-    are put in one order, and every question takes the total of the newest sample at or before it. One sample per
-    series and time is assumed.
+    Time is cut into blocks as long as the window, so a window is the end of one block and the beginning of the next: the
+    sum of its block up to t, and of the block before from behind t - seconds on. Both are running totals inside a block,
+    one forwards and one backwards. Nothing is subtracted: a NaN or a huge value affects the windows it lies in and no
+    other. Sums of a decimal column are exact. One sample per series and time is assumed; null values add nothing.
     """
-    totals = running_total(cut(df, keys, [ts]), keys, [ts], value, "_total").drop("_bucket")
-    at = F.unix_micros(ts)
+    window = seconds * MICROS
+    zero = F.lit(0).cast(df.schema[value].dataType)
+    rows = df.withColumns({"_at": F.unix_micros(ts), "_add": F.coalesce(value, zero)})
+    rows = rows.withColumn("_block", F.floor(F.col("_at") / window))
+    forwards = [*keys, "_block"]
+    upto = running_total(cut(rows, forwards, ["_at"]), forwards, ["_at"], "_add", "_upto").drop("_bucket")
+    # Backwards, each sample also asks for the end of the block before; at equal times the question comes first, as the
+    # sample at t - seconds is outside.
     roles = F.array(
-        F.struct(at.alias("at"), F.lit(0).alias("asks")),
-        F.struct((at - seconds * MICROS).alias("at"), F.lit(1).alias("asks")),
+        F.struct((-F.col("_at")).alias("back"), F.col("_block").alias("block"), F.lit(1).alias("adds"), F.col("_add").alias("add")),
+        F.struct((window - F.col("_at")).alias("back"), (F.col("_block") - 1).alias("block"), F.lit(0).alias("adds"), zero.alias("add")),
     )
-    both = totals.withColumn("_role", F.explode(roles)).select(
-        "*",
-        F.col("_role.at").alias("_at"),
-        F.col("_role.asks").alias("_asks"),
-        F.when(F.col("_role.asks") == 0, F.col("_total")).alias("_known"),
+    both = upto.withColumn("_role", F.explode(roles)).select(
+        *df.columns, "_upto", *[F.col(f"_role.{c}").alias(f"_{c}") for c in ("back", "block", "adds", "add")]
     )
-    order = ["_at", "_asks", ts]
-    answered = carry_last(cut(both.drop("_role"), keys, order), keys, order, "_known", "_base").filter("_asks = 1")
-    return answered.withColumn(out, F.col("_total") - F.coalesce("_base", F.lit(0))).select(*df.columns, out)
+    order = ["_back", "_adds"]
+    behind = running_total(cut(both, forwards, order), forwards, order, "_add", "_behind").filter("_adds = 0")
+    return behind.withColumn(out, F.col("_upto") + F.col("_behind")).select(*df.columns, out)
 
 
 def islands(rows: DataFrame, keys: list[str], order: list[str], starts_new: Column, previous: dict[str, str]) -> DataFrame:

@@ -183,6 +183,7 @@ def ingest_files(
         PrepareConfig(root=how.root, clean=how.rules, prefer_csv=how.prefer_csv),
         stage=work_path(spark, f"stage-{run}"),
         headers=headers,
+        keep_mapped=True,
     )
     # The new rows are stored once; counters and labels read them there.
     documents = _documents(out, how, run_at)

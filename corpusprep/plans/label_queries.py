@@ -151,16 +151,12 @@ def best_label(t: Tables) -> DataFrame:
     lang_ranks AS (
       SELECT lang, gram, row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) AS lang_rank
       FROM (SELECT lang, gram, count(*) AS n FROM grams GROUP BY ALL)),
-    doc_ranks AS (
-      SELECT doc_id, gram, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, gram) AS rank
-      FROM (SELECT doc_id, gram, count(*) AS n FROM grams GROUP BY ALL)),
-    d AS (SELECT * FROM doc_ranks WHERE rank <= {TOP}),
     scores AS (
-      SELECT d.doc_id, l.lang, sum({TOP} - abs(d.rank - l.lang_rank))::BIGINT AS gain
-      FROM d JOIN lang_ranks l ON l.gram = d.gram AND l.lang_rank <= {TOP} GROUP BY ALL),
+      SELECT g.doc_id, l.lang, sum({TOP} + 1 - l.lang_rank)::BIGINT AS gain
+      FROM grams g JOIN lang_ranks l ON l.gram = g.gram AND l.lang_rank <= {TOP} GROUP BY ALL),
     best AS (
       SELECT doc_id, lang, gain FROM scores QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY gain DESC, lang DESC) = 1),
-    sizes AS (SELECT doc_id, count(*) AS n FROM d GROUP BY doc_id)
+    sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id)
     SELECT o.doc_id, coalesce(b.lang, 'und') AS language, ({TOP} * s.n - b.gain)::BIGINT AS distance
     FROM documents o LEFT JOIN best b USING (doc_id) LEFT JOIN sizes s USING (doc_id)
     """,

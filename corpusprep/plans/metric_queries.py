@@ -63,6 +63,42 @@ def counter_rate(t: Tables) -> DataFrame:
     return rates.select("event_type", stamp("ts").alias("ts"), "value", (F.col("per_second") * 60).alias("per_minute"))
 
 
+@query(
+    "increase_1d",
+    f"""
+    WITH {SQL_COUNTERS}
+    SELECT event_type, strftime(ts, '{SQL_STAMP}') AS ts,
+           (sum(delta) OVER (PARTITION BY event_type ORDER BY ts RANGE BETWEEN INTERVAL '86399999999 microseconds'
+                             PRECEDING AND CURRENT ROW))::DOUBLE AS increase
+    FROM deltas
+    """,
+)
+def increase_1d(t: Tables) -> DataFrame:
+    """Growth over the day before every sample."""
+    grown = series.trailing_increase(counters(t), ["event_type"], "ts", "value", 24 * HOUR)
+    return grown.select("event_type", stamp("ts").alias("ts"), "increase")
+
+
+@query(
+    "rate_ratio",
+    f"""
+    WITH {SQL_COUNTERS},
+    grown AS (
+      SELECT event_type, ts, sum(delta) OVER (PARTITION BY event_type ORDER BY ts RANGE BETWEEN
+        INTERVAL '10799999999 microseconds' PRECEDING AND CURRENT ROW) AS growth FROM deltas),
+    sums AS (
+      SELECT ts, sum(growth) FILTER (event_type IN ('error', 'view')) / 10800::DOUBLE AS part, sum(growth) / 10800::DOUBLE AS whole
+      FROM grown GROUP BY ts)
+    SELECT strftime(ts, '{SQL_STAMP}') AS ts, CASE WHEN whole <> 0 THEN part / whole END AS ratio FROM sums
+    """,
+)
+def rate_ratio(t: Tables) -> DataFrame:
+    """Share of errors and views in the rate of all events over three hours."""
+    part = F.col("event_type").isin("error", "view")
+    ratios = series.rate_ratio(counters(t), ["event_type"], "ts", "value", 3 * HOUR, [], part)
+    return ratios.select(stamp("ts").alias("ts"), "ratio")
+
+
 @query(
     "counter_increase",
     f"""

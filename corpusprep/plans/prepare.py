@@ -12,7 +12,7 @@ from ..functions.keys import object_key, stage_paths
 from ..operators import clean as cleaning
 from ..operators import enrich, ingest, quality, validate
 from ..operators.clean import CleanConfig
-from ..operators.language import identify
+from ..operators.language import identify_joined, language_of, sendable
 from ..session import materialize
 
 # What prepare() reads; columns a source does not have may be null.
@@ -90,10 +90,12 @@ def prepare(
     stage: str | None = None,
     profiles: DataFrame | None = None,
     headers: list[str] | None = None,
+    keep_mapped: bool = False,
 ) -> Outputs:
     """Clean, validate, map and keep what is new.
 
-    ``stage`` is a folder for the three wide intermediate tables. Duplicate checks read a step twice (once narrow for
+    ``stage`` is a folder for the wide intermediate tables; ``keep_mapped`` also stores the mapped rows there, for
+    callers that read several outputs. Duplicate checks read a step twice (once narrow for
     the keys, once whole), so at scale give a folder: the text is then cleaned once. ``profiles`` turns on language
     identification for texts the script ratio leaves open. ``headers`` comes from the side table's reader.
     """
@@ -105,12 +107,18 @@ def prepare(
     measured = cleaning.measure(cleaning.clean_text(with_meta), rules)
     measured = _staged(measured.withColumn("processed_at", run_at), stage, "measured")
     if profiles is not None:
-        # Stored once: every later step joins two narrow columns instead of ranking the texts again.
-        open_texts = measured.filter("language IS NULL").select("id", "text")
-        detected = materialize(identify(open_texts, "id", "text", profiles).select("id", "language"))
-        detected = detected.withColumnRenamed("language", "_detected")
-        measured = measured.join(detected, "id", "left").withColumn("language", F.coalesce("language", "_detected"))
-        measured = measured.drop("_detected")
+        rows = sendable(profiles)
+        if rows is not None:
+            # Only texts that the ratio leaves open are looked at; no text leaves its row.
+            detected = language_of(F.when(F.col("language").isNull(), F.col("text")), rows).getField("language")
+            measured = measured.withColumn("language", F.coalesce("language", detected))
+        else:
+            open_texts = measured.filter("language IS NULL").select("id", "text")
+            found = materialize(identify_joined(open_texts, "id", "text", profiles).select("id", "language"))
+            found = found.withColumnRenamed("language", "_detected")
+            measured = measured.join(found, "id", "left").withColumn("language", F.coalesce("language", "_detected"))
+            measured = measured.drop("_detected")
+        measured = _staged(measured, stage, "languages")
     measured = measured.withColumn("language", F.coalesce("language", F.lit("und")))
 
     cleaned = cleaning.verdict(measured, rules)
@@ -132,7 +140,8 @@ def prepare(
         )
 
     accepted = checked.filter("reason IS NULL")
-    mapped = _staged(enrich.map_metadata(accepted, url_map, ["id"], config.prefer_csv), stage, "mapped")
+    mapped = enrich.map_metadata(accepted, url_map, ["id"], config.prefer_csv)
+    mapped = _staged(mapped, stage if keep_mapped else None, "mapped")
     located = enrich.resolve_dataset(mapped, datasets, "file_path", ["id"])
     position = F.format_string("%s\u0001%012d", F.col("file_path"), F.col("line_no"))
     batch = ingest.with_defaults(located.withColumn("_position", position))

@@ -166,3 +166,45 @@ def test_reshaping(spark):
     assert series.rename_by_regex(wide, "^m([0-9])$", r"x\1").columns == ["name", "x1", "x2"]
     shown = wide.select(series.map_values(F.col("name"), {"n": "N"}, "none").alias("t"))
     assert sorted(r.t for r in shown.collect()) == ["N", "o"]
+
+
+@pytest.mark.parametrize("seconds", [60, 100, 3600])
+def test_trailing_sums_of_nan_huge_values_and_fractions(spark, seconds):
+    """What is outside a window does not touch it; decimals are exact."""
+    import math
+    import random
+
+    rng = random.Random(8)
+    start = datetime(2024, 1, 1)
+    at = sorted(rng.sample(range(-5000, 5000), 400))
+    special = {10: float("nan"), 50: 1e17, 51: -1e17, 120: float("inf"), 200: 1e17}
+    values = [special.get(i, rng.randrange(1000) / 8) for i in range(400)]
+    df = spark.createDataFrame(
+        [("k", start + timedelta(seconds=s), v) for s, v in zip(at, values)] + [("other", start, 1.5)], "k string, ts timestamp, v double"
+    )
+    got = {(r.k, r.ts): r.total for r in timeline.trailing_sum(df, ["k"], "ts", "v", seconds, "total").collect()}
+    assert got.pop(("other", start)) == 1.5 and len(got) == 400
+    for s in at:
+        inside = [v for a, v in zip(at, values) if s - seconds < a <= s]
+        total, want = got[("k", start + timedelta(seconds=s))], math.fsum(v for v in inside if math.isfinite(v))
+        if any(map(math.isnan, inside)):
+            assert math.isnan(total)
+        elif any(map(math.isinf, inside)):
+            assert math.isinf(total)
+        elif not any(abs(v) > 1e9 for v in inside):
+            assert total == want  # eighths add up without rounding
+        else:
+            assert abs(total - want) <= 64
+    cents = df.filter("k = 'k' and not isnan(v) and abs(v) < 1e9").withColumn("v", F.expr("cast(v as decimal(20, 3)) + 0.007"))
+    exact = timeline.trailing_sum(cents, ["k"], "ts", "v", seconds, "total").collect()
+    rows = {r.ts: r.v for r in cents.collect()}
+    for r in exact:
+        assert r.total == sum(v for ts, v in rows.items() if r.ts - timedelta(seconds=seconds) < ts <= r.ts)
+
+
+def test_a_ratio_of_rates_without_growth_is_null(spark):
+    start = datetime(2024, 1, 1)
+    rows = [(k, start + timedelta(seconds=s), v) for k, vs in {"a": [1, 3, 3, 3], "b": [5, 6, 6, 6]}.items() for s, v in zip((0, 60, 120, 180), vs)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp, v long").withColumn("v", F.col("v").cast("double"))
+    got = series.rate_ratio(df, ["k"], "ts", "v", 100, [], F.col("k") == "a").orderBy("ts").collect()
+    assert [r.ratio for r in got] == [None, pytest.approx(2 / 3), pytest.approx(2 / 3), None]

@@ -126,6 +126,40 @@ def test_lookup_counts_misses(spark):
     assert [tuple(r) for r in misses.collect()] == [("b", 1)]
 
 
+def test_all_grams_count_in_the_row_and_joined(spark, monkeypatch):
+    train = [("en", "the cat and the hat"), ("de", "der hund und das haus"), ("fr", "le chat et la maison \U0001d4d0\U0001d4d1")]
+    profiles = language.language_profiles(spark.createDataFrame(train, "lang string, text string"), "lang", "text", 20)
+    # The ending decides: whoever looks at the beginning only takes the other language.
+    texts = ["the cat " * 3 + "und das haus " * 300, "und " * 3 + "the hat " * 40_000, "", None, "x", "1 2 3", "e", "et \U0001d4d0\U0001d4d1 la"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    want = {}
+    ranks = {}
+    for r in profiles.collect():
+        ranks.setdefault(r.gram, {})[r.lang] = 21 - r.lang_rank
+    for i, t in enumerate(texts):
+        words = "".join(c if c.isalpha() else " " for c in (t or "").lower()).split()
+        padded = " " + " ".join(words) + " " if words else " "
+        grams = [padded[k : k + 3] for k in range(len(padded) - 2)]
+        sums = {}
+        for g in grams:
+            for lang, gain in ranks.get(g, {}).items():
+                sums[lang] = sums.get(lang, 0) + gain
+        best = max(sums, key=lambda x: (sums[x], x), default=None)
+        want[i] = (best or "und", 20 * len(grams) - sums[best] if best else None)
+    assert (want[0][0], want[1][0]) == ("de", "en")
+    for chunk in (language.CHUNK, 997):
+        monkeypatch.setattr(language, "CHUNK", chunk)
+        got = language.identify(df, "i", "text", profiles, 20)
+        assert {r.i: (r.language, r.distance) for r in got.collect()} == want
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    joined = language.identify_joined(df, "i", "text", profiles, 20)
+    assert {r.i: (r.language, r.distance) for r in joined.collect()} == want
+    monkeypatch.setattr(language, "SENT_BYTES", 10)
+    assert language.sendable(profiles, 20) is None
+    again = language.identify(df, "i", "text", profiles, 20)
+    assert {r.i: (r.language, r.distance) for r in again.collect()} == want
+
+
 def test_language_of_short_texts(spark):
     train = spark.createDataFrame(
         [("en", "the cat sat on the mat and the dog ran with the ball"), ("de", "der hund und die katze sind auf der matte und ich")],
