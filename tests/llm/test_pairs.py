@@ -2,6 +2,7 @@
 
 import random
 
+from corpusprep.llm.common import stored
 from corpusprep.llm.components import components
 from corpusprep.llm.line_dedup import LineDedup, line_dedup
 from corpusprep.llm.ngram_join import NgramJoin, ngram_join
@@ -28,6 +29,22 @@ def test_components_of_chains_stars_and_loops(spark):
     assert components(spark.createDataFrame([(1, 1)], "a long, b long")).count() == 0
 
 
+def test_components_of_a_rising_chain_take_few_rounds(spark, monkeypatch):
+    from corpusprep.llm import components as module
+
+    rounds = []
+
+    def counted(df, name):
+        rounds.extend([name] if name == "contraction" else [])
+        return stored(df, name)
+
+    monkeypatch.setattr(module, "stored", counted)
+    chain = spark.range(1000).selectExpr("id as a", "id + 1 as b")
+    got = components(chain)
+    assert got.count() == 1001 and got.filter("component <> 0").isEmpty()
+    assert len(rounds) <= 15
+
+
 def shingles(text, n):
     words = (text or "").lower().split(" ")
     words = [w for w in words if w]
