@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from corpusprep.llm.chat_format import ChatTemplate, format_chats, read_back
 from corpusprep.llm.decontam import Decontamination, decontaminate, without_spans
 from corpusprep.llm.fm_index import FMIndex, suffix_array
-from corpusprep.llm.license_scan import license_scan
+from corpusprep.llm.license_scan import TEMPLATES, LicenseScan, Scanner, differences, license_scan
 from corpusprep.llm.lm_score import LanguageModel, Weights, features, lm_score
 from corpusprep.llm.mixing import Mixing, mix
 from corpusprep.llm.quality_rules import at_most, quality_rules
@@ -179,6 +179,47 @@ def test_licenses_behind_other_words_and_across_lines(docs):
     assert {texts[r.doc_id][r.start : r.end] for r in got if r.doc_id == 0} == {"Licensed under CC BY 4.0"}
 
 
+def test_licenses_that_differ_in_a_name_a_version_or_a_clause(spark, docs):
+    plain = {name: wording.replace("{", "").replace("}", "") for name, wording in TEMPLATES.items()}
+    gpl = plain["GPL-3.0"]
+    texts = [
+        gpl.replace("GNU", "GNU Affero"),
+        gpl.replace("is licensed", "is not licensed"),
+        "It is not released under the MIT License.",
+        plain["BSD-2-Clause"],
+        plain["BSD-3-Clause"].replace("contributors may", "helpers may"),
+        "We do not care. " + gpl,
+        gpl.replace("version 3", "version 4"),
+        plain["MIT"].replace("copyright notice", "notice"),
+        plain["MIT-grant"],
+        f"{gpl} {plain['GPL-2.0']} {gpl.replace('This work', 'This')}",
+        plain["BSD-opening"],
+        "x " * 3_000_000 + gpl,
+        gpl + " \n\n" + plain["Apache-2.0"].upper(),
+    ]
+    found = license_scan(docs(texts).withColumn("license", F.lit("other"))).filter("confirmed").collect()
+    got = {}
+    for r in sorted(found, key=lambda r: (r.doc_id, r.start)):
+        got.setdefault(r.doc_id, []).append(r.license)
+    assert got == {
+        0: ["AGPL-3.0"], 3: ["BSD-2-Clause"], 4: ["BSD-3-Clause"], 5: ["GPL-3.0"], 7: ["MIT"], 8: ["MIT-grant"],
+        9: ["GPL-3.0", "GPL-2.0", "GPL-3.0"], 10: ["BSD-opening"], 11: ["GPL-3.0"], 12: ["GPL-3.0", "Apache-2.0"],
+    }
+    assert license_scan(docs([])).count() == 0
+
+
+def test_every_wording_within_its_differences_is_a_candidate():
+    rng, scanner = random.Random(5), Scanner(LicenseScan())
+    for number, wording in enumerate(scanner.known * 5):
+        number %= len(scanner.known)
+        words = list(wording.words)
+        for _ in range(wording.allowed):
+            at = rng.randrange(len(words))
+            words[at : at + rng.randrange(2)] = [f"zz{rng.randrange(99)}"] if rng.random() < 0.5 else []
+        if len(differences(wording.words, words).changes) <= wording.allowed:
+            assert any(n == number for _, _, n in scanner.windows(["aa"] * 7 + words + ["bb"] * 7)), words
+
+
 def test_chats_come_back_unchanged(spark):
     template = ChatTemplate()
     for text in ("</s>[INST] ok [/INST]", "\x1bx\x1be<|end|><|end|", "<|turn|>user<|text|>", "", "[", "<<|end|>>"):
