@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 from corpusprep.llm.common import stored
 from corpusprep.llm.components import components
 from corpusprep.llm.line_dedup import LineDedup, line_dedup
@@ -116,17 +117,19 @@ def test_lines_of_repeated_rows_and_null_ids(docs):
     assert line_dedup(docs([(1, "a")]).filter("false")).count() == 0
 
 
-def test_bits_are_majorities(spark):
-    from pyspark.sql import functions as F
-
-    from corpusprep.llm.line_dedup import simhash
+def test_sketches_hold_the_smallest_hash_of_each_bin(monkeypatch):
+    from corpusprep.llm import line_dedup as module
 
     rng = random.Random(1)
-    for n in (1, 2, 5, 127, 128, 300):
-        hashes = [rng.randrange(-(1 << 63), 1 << 63) for _ in range(n)]
-        want = sum(1 << j for j in range(64) if 2 * sum(h >> j & 1 for h in hashes) > n)
-        df = spark.createDataFrame([(hashes,)], "h array<long>")
-        assert df.select(F.transform(F.array("h"), simhash)[0]).first()[0] % (1 << 64) == want
+    lines = ["".join(rng.choice("abc \u00e9\U0001f600") for _ in range(n)) for n in (0, 1, 10, 11, 12, 40, 700, 3, 90)]
+    whole = module.sketches(lines)
+    assert [(row != 2**64 - 1).sum() for row in whole[:4]] == [1, 1, 1, 1]
+    for line, row in zip(lines, whole, strict=True):
+        assert (module.sketches([line])[0] == row).all()
+        grams = [module.sketches([line[i : i + 11]])[0] for i in range(max(1, len(line) - 10))]
+        assert (np.min(grams, axis=0) == row).all()
+    monkeypatch.setattr(module, "_CHUNK", 7)
+    assert (module.sketches(lines) == whole).all()
 
 
 def distance(a, b):
