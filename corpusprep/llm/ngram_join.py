@@ -9,9 +9,11 @@ fixed size over all documents; any order gives the same links, a good one only k
    classes that are both linked to the hub are connected already. A class that is not gets compared with the others of
    its list, unless the triangle inequality of the Jaccard distance rules the pair out. So a group of near copies costs
    about as many comparisons as it has members, not their square, and no connection is lost.
-4. To compare, the global order is cut into fragments of about equal mass; each pair's overlap is counted in every
-   fragment separately and summed.
-5. Links become connected components.
+4. Every set has a bitmap of parities, about two bits for each n-gram. The bits in which two bitmaps differ are at most
+   the n-grams in which the sets differ, so a pair that differs in too many bits can't be linked and ends here.
+5. To compare the rest, the global order is cut into fragments of about equal mass; each pair's overlap is counted in
+   every fragment separately and summed.
+6. Links become connected components.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.keyed import salted_lookup
 from .common import encoded_words, in_slices, mixed, pieces, stored, summed_slices, word_hashes
 from .components import components
 
@@ -69,6 +72,22 @@ def signature(grams: np.ndarray) -> int:
     return int(mixed(grams ^ np.uint64(0x9E3779B97F4A7C15)).sum(dtype=np.uint64).astype(np.int64))
 
 
+def parities(grams: np.ndarray) -> bytes:
+    """A bit for each place of a power of two of places, twice the set's size or more: is the number of n-grams odd?"""
+    places = 1 << max(6, (2 * len(grams) - 1).bit_length())
+    counted = np.bincount((grams & np.uint64(places - 1)).astype(np.int64), minlength=places)
+    return np.packbits((counted & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def differing(a: bytes, b: bytes) -> int:
+    """A lower bound of the n-grams in which two sets differ. The larger bitmap is folded to the smaller one's size."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    while len(x) != len(y):
+        x, y = (x, y) if len(x) > len(y) else (y, x)
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum(dtype=np.int64))
+
+
 class Order:
     """The global order: n-grams by class of frequency (log2 of their counter), then by hash."""
 
@@ -92,15 +111,16 @@ class Order:
 
 
 def _describe(how: NgramJoin):
-    """Per document its set's size and signature (``slice`` null), and per task the sketch in slices of counters."""
+    """Per document its set's size, signature and parities (``slice`` null), and per task the sketch in slices."""
 
     def run(batches):
         counters = np.zeros(1 << how.sketch_bits, np.int64)
         for piece in pieces(batches, "text"):
-            sizes, signatures = [], []
+            sizes, signatures, bits = [], [], []
             for grams in sets(piece["text"], how.words):
                 sizes.append(len(grams))
                 signatures.append(signature(grams))
+                bits.append(parities(grams))
                 np.add.at(counters, (grams & np.uint64((1 << how.sketch_bits) - 1)).astype(np.int64), 1)
             empty = pa.nulls(len(sizes))
             yield pa.RecordBatch.from_arrays(
@@ -109,7 +129,7 @@ def _describe(how: NgramJoin):
                     pa.array(sizes, pa.int64()),
                     pa.array(signatures, pa.int64()),
                     empty.cast(pa.int32()),
-                    empty.cast(pa.binary()),
+                    pa.array(bits, pa.binary()),
                 ],
                 names=["doc_id", "n", "sig", "slice", "block"],
             )
@@ -156,22 +176,25 @@ def _prefixes(how: NgramJoin, order):
 
 
 def _segments(how: NgramJoin, order, wanted):
-    """Rows ``sig, n, fragment, keys`` for the representatives that take part in a candidate pair."""
+    """Rows ``sides, sig, n, fragment, keys`` for the representatives of candidate pairs; ``sides`` has bit 1 for those on
+    the left of a pair, bit 2 for those on the right."""
 
     def run(batches):
-        ranks, bits = order.value, wanted.value
+        ranks, filters = order.value, wanted.value
         for piece in pieces(batches, "text"):
             ids = np.array([-1 if i is None else i for i in piece["doc_id"].to_pylist()], np.int64)
             place = (mixed(ids.view(np.uint64)) & np.uint64((1 << how.filter_bits) - 1)).astype(np.int64)
-            asked = pa.array(((bits[place >> 3] >> (place & 7)) & 1).astype(bool))
-            chosen = piece.filter(asked)
-            owner, size, number, keys = [], [], [], []
-            for grams in sets(chosen["text"], how.words):
+            left, right = ((bits[place >> 3] >> (place & 7)) & 1 for bits in filters)
+            asked = left + 2 * right
+            chosen = piece.filter(pa.array(asked > 0))
+            side, owner, size, number, keys = [], [], [], [], []
+            for here, grams in zip(asked[asked > 0].tolist(), sets(chosen["text"], how.words), strict=True):
                 ordered = np.sort(ranks.keys(grams))
                 pieces_of = ranks.fragment(ordered, how.fragments)
                 starts = np.flatnonzero(np.diff(pieces_of, prepend=-1)) if len(ordered) else []
                 sig = signature(grams)
                 for start, part in zip(starts, np.split(ordered, starts[1:]), strict=True):
+                    side.append(here)
                     owner.append(sig)
                     size.append(len(grams))
                     number.append(int(pieces_of[start]))
@@ -179,12 +202,13 @@ def _segments(how: NgramJoin, order, wanted):
             if owner:
                 yield pa.RecordBatch.from_arrays(
                     [
+                        pa.array(side, pa.int32()),
                         pa.array(owner, pa.int64()),
                         pa.array(size, pa.int64()),
                         pa.array(number, pa.int32()),
                         pa.array(keys, pa.list_(pa.int64())),
                     ],
-                    names=["sig", "n", "fragment", "keys"],
+                    names=["sides", "sig", "n", "fragment", "keys"],
                 )
 
     return run
@@ -211,10 +235,29 @@ def _filter_of(ids: DataFrame, how: NgramJoin) -> np.ndarray:
     return bits
 
 
+def _bounded(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """``sig, n, sig2, n2, least``: the smallest Jaccard distance that the bitmaps of both sides allow."""
+
+    def run(batches):
+        for batch in batches:
+            n, n2 = (batch[c].to_numpy().astype(np.float64) for c in ("n", "n2"))
+            bitmaps = zip(batch["bits"].to_pylist(), batch["bits2"].to_pylist(), strict=True)
+            differ = np.array([differing(a, b) for a, b in bitmaps], np.float64)
+            shared = np.floor((n + n2 - differ) / 2)
+            bound = 1.0 - shared / (n + n2 - shared)
+            names = ["sig", "n", "sig2", "n2"]
+            yield pa.RecordBatch.from_arrays([*[batch[c] for c in names], pa.array(bound)], names=[*names, "least"])
+
+    left = classes.select("sig", "n", "bits")
+    both = pairs.join(left, ["sig", "n"]).join(left.toDF("sig2", "n2", "bits2"), ["sig2", "n2"])
+    asked = both.select("sig", "n", "sig2", "n2", "bits", "bits2")
+    return asked.mapInArrow(run, "sig long, n long, sig2 long, n2 long, least double")
+
+
 def _compared(pairs: DataFrame, segments: DataFrame) -> DataFrame:
     """Overlap of each pair: counted fragment by fragment, then summed. Columns of ``pairs`` and ``shared``."""
-    left = segments.select("sig", "n", "fragment", "keys")
-    right = segments.select(
+    left = segments.filter("sides % 2 = 1").select("sig", "n", "fragment", "keys")
+    right = segments.filter("sides >= 2").select(
         F.col("sig").alias("sig2"), F.col("n").alias("n2"), "fragment", F.col("keys").alias("keys2")
     )
     both = pairs.join(left, ["sig", "n"]).join(right, ["sig2", "n2", "fragment"])
@@ -242,8 +285,12 @@ def ngram_join(docs: DataFrame, how: NgramJoin = NgramJoin()) -> DataFrame:
         "ngram-sets",
     )
     order = spark.sparkContext.broadcast(Order(_sketch(described, how), how.sketch_bits))
-    members = described.filter("slice is null").select("doc_id", "n", "sig")
-    classes = members.filter("n > 0").groupBy("sig", "n").agg(F.min("doc_id").alias("rep"))
+    members = described.filter("slice is null").select("doc_id", "n", "sig", F.col("block").alias("bits"))
+    grouped = members.filter("n > 0").groupBy("sig", "n")
+    classes = stored(
+        grouped.agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("bits").alias("bits")),
+        "ngram-classes",
+    )
 
     prefixes = narrow.mapInArrow(_prefixes(how, order), "token long, sig long, n long, place long")
     # One shuffle by token serves the removal of repeats, the hubs and the way back to the rows. The hub is the class
@@ -270,40 +317,50 @@ def ngram_join(docs: DataFrame, how: NgramJoin = NgramJoin()) -> DataFrame:
         & (F.col("place2") <= F.col("n2") - needed)
     )
 
+    reach = F.lit(1.0 - how.percent / 100 + 1e-9)
+
+    def asked(pairs: DataFrame) -> np.ndarray:
+        return _filter_of(pairs.distinct().join(classes, ["sig", "n"]).select(F.col("rep").alias("doc_id")), how)
+
     def compare(pairs: DataFrame, name: str) -> DataFrame:
-        """Pairs with the verdict ``linked`` and their ``distance``; n-grams are fetched for the classes in them."""
-        pairs = stored(pairs, f"ngram-{name}-pairs")
-        asked = pairs.select("sig", "n").union(pairs.select("sig2", "n2")).distinct()
-        bits = _filter_of(asked.join(classes, ["sig", "n"]).select(F.col("rep").alias("doc_id")), how)
-        wanted = spark.sparkContext.broadcast(bits)
+        """Pairs with the verdict ``linked`` and bounds ``least`` and ``most`` of their distance, which are equal where
+        the sets were compared; n-grams are fetched only for pairs that the bitmaps leave open."""
+        bounded = stored(_bounded(pairs, classes), f"ngram-{name}-pairs")
+        left = bounded.filter(F.col("least") <= reach).select("sig", "n", "sig2", "n2")
+        sides = asked(left.select("sig", "n")), asked(left.select("sig2", "n2").toDF("sig", "n"))
+        wanted = spark.sparkContext.broadcast(sides)
         segments = stored(
-            narrow.mapInArrow(_segments(how, order, wanted), "sig long, n long, fragment int, keys array<long>"),
+            narrow.mapInArrow(_segments(how, order, wanted), "sides int, sig long, n long, fragment int, keys array<long>"),
             f"ngram-{name}-segments",
         )
-        union = total - F.col("shared")
-        judged = (
-            _compared(pairs, segments)
-            .withColumn("linked", F.lit(100) * F.col("shared") >= F.lit(how.percent) * union)
-            .withColumn("distance", F.lit(1.0) - F.col("shared") / union)
+        union, distance = total - F.col("shared"), F.lit(1.0) - F.col("shared") / (total - F.col("shared"))
+        judged = _compared(left, segments).select(
+            "sig", "n", "sig2", "n2", (F.lit(100) * F.col("shared") >= F.lit(how.percent) * union).alias("linked"),
+            distance.alias("least"), distance.alias("most"),
         )
-        return stored(judged, f"ngram-{name}-links")
+        apart = bounded.filter(F.col("least") > reach).select(
+            "sig", "n", "sig2", "n2", F.lit(False).alias("linked"), "least", F.lit(1.0).alias("most")
+        )
+        return stored(judged.union(apart), f"ngram-{name}-links")
 
     star = compare(lists.filter(~same & fits).select("sig", "n", "sig2", "n2").distinct(), "hub")
 
     # Classes of a list with their verdict against its hub. Those linked to the hub are connected with each other.
     judged = stored(
         lists.filter(~same)
-        .join(star.select("sig", "n", "sig2", "n2", "linked", "distance"), ["sig", "n", "sig2", "n2"], "left")
-        .select("token", "sig", "n", "place", F.coalesce("linked", F.lit(False)).alias("linked"), "distance"),
+        .join(star, ["sig", "n", "sig2", "n2"], "left")
+        .select(
+            "token", "sig", "n", "place", F.coalesce("linked", F.lit(False)).alias("linked"),
+            F.coalesce("least", F.lit(0.0)).alias("least"), F.coalesce("most", F.lit(1.0)).alias("most"),
+        ),
         "ngram-judged",
     )
-    others = judged.select("token", *[F.col(c).alias(f"{c}2") for c in ("sig", "n", "place", "linked", "distance")])
+    others = judged.select("token", *[F.col(c).alias(f"{c}2") for c in ("sig", "n", "place", "linked", "least", "most")])
     first = (F.col("n") < F.col("n2")) | ((F.col("n") == F.col("n2")) & (F.col("sig") < F.col("sig2")))
-    reach = F.lit(1.0 - how.percent / 100 + 1e-9)
-    near = F.coalesce(F.abs(F.col("distance") - F.col("distance2")) <= reach, F.lit(True))
+    near = (F.col("least") - F.col("most2") <= reach) & (F.col("least2") - F.col("most") <= reach)
     rest = (
         judged.filter("not linked")
-        .select("token", "sig", "n", "place", "distance")
+        .select("token", "sig", "n", "place", "least", "most")
         .join(others, "token")
         .filter(fits & near & ~same & (F.col("linked2") | first))
         .select("sig", "n", "sig2", "n2")
@@ -324,8 +381,12 @@ def ngram_join(docs: DataFrame, how: NgramJoin = NgramJoin()) -> DataFrame:
         .agg(F.count("*").alias("n_verified_links"))
     )
     labelled = classes.join(groups, F.col("rep") == F.col("node"), "left").join(degrees, "rep", "left")
-    labelled = labelled.select("sig", "n", F.coalesce("component", "rep").alias("component_id"), "n_verified_links")
-    return members.join(labelled, ["sig", "n"], "left").select(
+    # A document whose text nobody shares or resembles is its own group: it needs no lookup.
+    labelled = labelled.filter("copies > 1 or component is not null").select(
+        "sig", "n", F.coalesce("component", "rep").alias("component_id"), "n_verified_links"
+    )
+    placed = salted_lookup(members.drop("bits"), labelled, ["sig", "n"], ["doc_id"])
+    return placed.select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.coalesce("component_id", "doc_id").alias("component_id"),

@@ -167,3 +167,17 @@ def test_lines_of_few_long_words_take_part(docs):
     assert {r.doc_id: (r.text, r.n_removed) for r in got} == {
         0: (f"{thai}\nSubscribe to newsletter\nMenu", 0), 1: ("", 1), 2: ("", 1), 3: ("Menu\n---", 1)
     }
+
+
+def test_parities_bound_the_difference_of_sets():
+    from corpusprep.llm.ngram_join import differing, parities
+
+    rng = np.random.default_rng(2)
+    for size in (0, 1, 40, 3000):
+        base = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+        for other in (0, 1, 30, 900, 20_000):
+            more = np.union1d(base[other // 2 :], rng.integers(0, 2**63, other).astype(np.uint64))
+            bound = differing(parities(base), parities(more))
+            assert bound == differing(parities(more), parities(base)) <= len(np.setxor1d(base, more))
+    wide = rng.integers(0, 2**63, 2000).astype(np.uint64)
+    assert differing(parities(wide[:1000]), parities(wide[1000:])) > 500 and differing(parities(wide), parities(wide)) == 0
