@@ -15,7 +15,7 @@ SIZE = 3
 TOP = 300
 #: Profiles up to this size are sent to every task.
 SENT_BYTES = 16 << 20
-#: Positions of a batch that are looked up at a time.
+#: Positions of a batch that are looked up at a time; texts that are ranked stay whole.
 CHUNK = 1 << 20
 
 
@@ -53,13 +53,30 @@ def identify_joined(df: DataFrame, row_id: str, text: str, profiles: DataFrame,
     """:func:`identify` for profiles too large to send to every task: grams are counted per text and joined."""
     counts = gram_counts(df, row_id, text)
     shared = salted_lookup(counts, _by_gram(profiles, top), ["gram"], [row_id])
-    one = F.explode_outer("langs").alias("_l")
-    per_language = shared.select(row_id, "n", one).groupBy(row_id, F.col("_l.lang").alias("lang"))
-    sums = per_language.agg(F.sum(F.col("n") * F.col("_l.gain")).alias("gain"))
+    size = counts.groupBy(row_id).agg((F.lit(top) * F.sum("n")).alias("_most"))
+    return _best(df, row_id, shared, F.col("n") * F.col("_l.gain"), size)
+
+
+def identify_ranked_joined(df: DataFrame, row_id: str, text: str, profiles: DataFrame, top: int = TOP) -> DataFrame:
+    """:func:`identify_ranked` for profiles too large to send to every task: a text's grams are ranked and joined."""
+    counts = gram_counts(df, row_id, text)
+    one = Window.partitionBy(row_id)
+    rank = F.row_number().over(one.orderBy(F.desc("n"), "gram"))
+    placed = counts.select(row_id, "gram", rank.alias("rank"), F.count("*").over(one).alias("_size"))
+    placed = placed.withColumn("_missing", F.greatest("_size", F.lit(top).cast("long")))
+    shared = salted_lookup(placed, _by_gram(profiles, top), ["gram"], [row_id])
+    size = placed.groupBy(row_id).agg((F.max("_missing") * F.max("_size")).alias("_most"))
+    out_of_place = F.abs(F.col("rank") - (F.lit(top + 1) - F.col("_l.gain")))
+    return _best(df, row_id, shared, F.col("_missing") - out_of_place, size)
+
+
+def _best(df: DataFrame, row_id: str, shared: DataFrame, gain: Column, size: DataFrame) -> DataFrame:
+    """``row_id, language, distance`` from grams with their ``langs`` and the greatest distance ``_most`` of every text."""
+    one = shared.withColumn("_l", F.explode_outer("langs"))
+    sums = one.groupBy(row_id, F.col("_l.lang").alias("lang")).agg(F.sum(gain).alias("gain"))
     known = F.when(F.col("lang").isNotNull(), F.struct("gain", "lang"))
     best = sums.groupBy(row_id).agg(F.max(known).alias("_top"))
-    size = counts.groupBy(row_id).agg(F.sum("n").alias("_grams"))
-    distance = F.lit(top) * F.col("_grams") - F.col("_top.gain")
+    distance = F.col("_most") - F.col("_top.gain")
     return df.select(row_id).join(best.join(size, row_id), row_id, "left").select(
         row_id, F.coalesce("_top.lang", F.lit("und")).alias("language"), distance.cast("long").alias("distance")
     )
@@ -128,6 +145,66 @@ def _scorer(rows: list[tuple[str, str, int]], top: int):
     return F.pandas_udf(score, "language string, distance long")
 
 
+def _ranker(rows: list[tuple[str, str, int]], top: int):
+    """``struct<language, distance>`` of padded texts by the ranks of their grams. ``rows`` are as in :func:`_scorer`."""
+    langs = sorted({r[0] for r in rows}, reverse=True)
+    ids = _gram_ids(_codes([r[1] for r in rows])[0])[::SIZE] if rows else np.zeros(0, np.int64)
+    grams, at = np.unique(ids, return_inverse=True)
+    ranks = np.zeros((len(grams) + 1, max(len(langs), 1)), np.int64)  # 0: the language's profile has no such gram
+    for k, (lang, _, gain) in zip(at, rows):
+        ranks[k, langs.index(lang)] = top + 1 - gain
+
+    def judged(given: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The best language of each text, its gain, and the greatest distance."""
+        codes, starts = _codes(given)
+        found = _gram_ids(codes)
+        positions = np.arange(len(found))
+        row = np.searchsorted(starts, positions, side="right") - 1
+        inside = positions + SIZE <= starts[row + 1]
+        found, row = found[inside], row[inside]
+        order = np.lexsort((found, row))
+        found, row = found[order], row[order]
+        first = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(found, prepend=-1) != 0))
+        n = np.diff(first, append=len(found))
+        found, row = found[first], row[first]
+        # Ids of grams rise as the grams do: equal counts are ordered by the gram.
+        order = np.lexsort((found, -n, row))
+        found = found[order]
+        size = np.bincount(row, minlength=len(given))
+        rank = np.arange(len(found)) - np.repeat(np.cumsum(size) - size, size) + 1
+        missing = np.maximum(size, top)
+        sums = np.zeros((len(given), ranks.shape[1]), np.int64)
+        if len(grams) and len(found):
+            k = np.minimum(np.searchsorted(grams, found), len(grams) - 1)
+            hit = grams[k] == found
+            k, rank, row = k[hit], rank[hit], row[hit]
+            gain = np.where(ranks[k] > 0, missing[row][:, None] - np.abs(rank[:, None] - ranks[k]), 0)
+            edges = np.flatnonzero(np.diff(row, prepend=-1))
+            if len(edges):
+                sums[row[edges]] += np.add.reduceat(gain, edges, axis=0)
+        best = sums.argmax(axis=1)
+        return best, sums[np.arange(len(given)), best], missing * size
+
+    def rank_texts(texts: pd.Series) -> pd.DataFrame:
+        given = [t or "" for t in texts]
+        ends = np.cumsum(np.fromiter(map(len, given), np.int64, len(given)))
+        parts, start = [], 0
+        while start < len(given):
+            before = ends[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(ends, before + CHUNK, side="right")))
+            parts.append(judged(given[start:end]))
+            start = end
+        best, gain, most = (np.concatenate(p) for p in zip(*parts)) if parts else (np.zeros(0, np.int64),) * 3
+        return pd.DataFrame(
+            {
+                "language": [None if t is None else langs[b] if g else "und" for t, b, g in zip(texts, best, gain)],
+                "distance": pd.array([int(m - g) if g else None for g, m in zip(gain, most)], "Int64"),
+            }
+        )
+
+    return F.pandas_udf(rank_texts, "language string, distance long")
+
+
 def language_of(text: Column, profiles: list[tuple[str, str, int]], top: int = TOP) -> Column:
     """``struct<language, distance>`` of a text, found inside the row: no gram is shuffled. Null for a null text.
 
@@ -155,3 +232,18 @@ def identify(df: DataFrame, row_id: str, text: str, profiles: DataFrame, top: in
         return identify_joined(df, row_id, text, profiles, top)
     body = F.coalesce(F.col(text), F.lit(""))
     return df.select(row_id, language_of(body, rows, top).alias("_l")).select(row_id, "_l.language", "_l.distance")
+
+
+def identify_ranked(df: DataFrame, row_id: str, text: str, profiles: DataFrame, top: int = TOP) -> DataFrame:
+    """``row_id, language, distance``: the profile with the smallest out-of-place distance to the text's own ranking.
+
+    All distinct grams of the whole text are ranked by how often they occur, equal counts by the gram. A gram costs the
+    difference of its rank and the profile's; one that the profile does not have costs the greatest difference there can
+    be: the number of the text's grams, or ``top`` if that is more. The distance is the sum. Of equal languages the greater
+    name is taken; texts without any known gram get ``und``.
+    """
+    rows = sendable(profiles, top)
+    if rows is None:
+        return identify_ranked_joined(df, row_id, text, profiles, top)
+    body = F.coalesce(F.col(text), F.lit(""))
+    return df.select(row_id, _ranker(rows, top)(_padded(body)).alias("_l")).select(row_id, "_l.language", "_l.distance")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import labels
-from ..operators.language import TOP, identify, language_profiles
+from ..operators.language import TOP, identify_ranked, language_profiles
 from .registry import Tables, query
 from .table_queries import loaded_documents
 
@@ -151,17 +151,20 @@ def best_label(t: Tables) -> DataFrame:
     lang_ranks AS (
       SELECT lang, gram, row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) AS lang_rank
       FROM (SELECT lang, gram, count(*) AS n FROM grams GROUP BY ALL)),
+    doc_ranks AS (
+      SELECT doc_id, gram, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, gram) AS rank
+      FROM (SELECT doc_id, gram, count(*) AS n FROM grams GROUP BY ALL)),
+    sizes AS (SELECT doc_id, count(*) AS n, greatest(count(*), {TOP}) AS missing FROM doc_ranks GROUP BY doc_id),
     scores AS (
-      SELECT g.doc_id, l.lang, sum({TOP} + 1 - l.lang_rank)::BIGINT AS gain
-      FROM grams g JOIN lang_ranks l ON l.gram = g.gram AND l.lang_rank <= {TOP} GROUP BY ALL),
+      SELECT d.doc_id, l.lang, sum(s.missing - abs(d.rank - l.lang_rank))::BIGINT AS gain
+      FROM doc_ranks d JOIN sizes s USING (doc_id) JOIN lang_ranks l ON l.gram = d.gram AND l.lang_rank <= {TOP} GROUP BY ALL),
     best AS (
-      SELECT doc_id, lang, gain FROM scores QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY gain DESC, lang DESC) = 1),
-    sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id)
-    SELECT o.doc_id, coalesce(b.lang, 'und') AS language, ({TOP} * s.n - b.gain)::BIGINT AS distance
+      SELECT doc_id, lang, gain FROM scores QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY gain DESC, lang DESC) = 1)
+    SELECT o.doc_id, coalesce(b.lang, 'und') AS language, (s.missing * s.n - b.gain)::BIGINT AS distance
     FROM documents o LEFT JOIN best b USING (doc_id) LEFT JOIN sizes s USING (doc_id)
     """,
 )
 def lang_id(t: Tables) -> DataFrame:
-    """Profiles learned from the given languages, every text ranked against all of them."""
+    """Profiles learned from the given languages, all grams of every text ranked against each of them."""
     docs = t.spread("documents", "doc_id")
-    return identify(docs, "doc_id", "text", language_profiles(docs, "lang", "text"))
+    return identify_ranked(docs, "doc_id", "text", language_profiles(docs, "lang", "text"))

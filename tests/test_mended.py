@@ -1,12 +1,14 @@
 """Edges: object keys of scanned files, batches that end at the quiet time, null fields of exported chats."""
 
 import json
+from collections import Counter
 from datetime import datetime
 
 from pyspark.sql import functions as F
 
 from corpusprep.functions.keys import object_key, stage_paths
-from corpusprep.operators import chat, enrich
+from corpusprep.operators import chat, enrich, language
+from corpusprep.plans import registry
 from corpusprep.sources import jsonl
 from corpusprep.streaming import windows
 
@@ -55,3 +57,54 @@ def test_export_keeps_null_fields(spark, tmp_path):
     line = json.loads(spark.read.text(path).first()[0])
     assert line["title"] is None and "title" in line
     assert line["messages"] == [{"role": "user", "content": None}, {"role": "assistant", "content": "b", "model": "m"}]
+
+
+MANY = " ".join(a + b + c for a in "bcdfghjk" for b in "aeiou" for c in "lmnprs")
+# The grams that tell the second text's language are its rarest: they come after hundreds of others.
+TEXTS = ["the cat and the hat", MANY + " " + MANY + " und das haus", "", None, "x", "1 2 3", "e", "et \U0001d4d0\U0001d4d1 la", "und die and the"]
+
+
+def _ranked_by_hand(profiles, top):
+    ranks = {}
+    for r in profiles.collect():
+        ranks.setdefault(r.lang, {})[r.gram] = r.lang_rank
+    want = {}
+    for i, t in enumerate(TEXTS):
+        words = "".join(c if c.isalpha() else " " for c in (t or "").lower()).split()
+        padded = " " + " ".join(words) + " " if words else " "
+        counts = Counter(padded[k : k + 3] for k in range(len(padded) - 2))
+        order = sorted(counts, key=lambda g: (-counts[g], g))
+        missing = max(len(order), top)
+        gains = {}
+        for lang, known in ranks.items():
+            shared = [missing - abs(rank - known[g]) for rank, g in enumerate(order, 1) if g in known]
+            if shared:
+                gains[lang] = sum(shared)
+        best = max(gains, key=lambda x: (gains[x], x), default=None)
+        want[i] = (best or "und", missing * len(order) - gains[best] if best else None)
+    return want
+
+
+def test_all_grams_of_a_text_are_ranked(spark, monkeypatch):
+    train = [("en", "the cat and the hat"), ("de", "der hund und das haus"), ("fr", "le chat et la maison \U0001d4d0\U0001d4d1")]
+    profiles = language.language_profiles(spark.createDataFrame(train, "lang string, text string"), "lang", "text", 20)
+    df = spark.createDataFrame(list(enumerate(TEXTS)), "i int, text string")
+    want = _ranked_by_hand(profiles, 20)
+    assert want[1][0] == "de"
+    for chunk in (language.CHUNK, 50):
+        monkeypatch.setattr(language, "CHUNK", chunk)
+        got = language.identify_ranked(df, "i", "text", profiles, 20)
+        assert {r.i: (r.language, r.distance) for r in got.collect()} == want
+    monkeypatch.setattr(language, "SENT_BYTES", 10)
+    joined = language.identify_ranked(df, "i", "text", profiles, 20)
+    assert {r.i: (r.language, r.distance) for r in joined.collect()} == want
+
+
+def test_lang_id_ranks_a_texts_own_grams(spark, tmp_path):
+    langs = ["en", "de", "fr"]
+    rows = [(i, t, langs[i % 3]) for i, t in enumerate(TEXTS)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    got = registry.queries()["lang_id"](spark, str(tmp_path))
+    want = _ranked_by_hand(language.language_profiles(docs, "lang", "text"), language.TOP)
+    assert {r.doc_id: (r.language, r.distance) for r in got.collect()} == want
