@@ -99,7 +99,7 @@ def with_visible_text(df: DataFrame, raw: str, visible_out: str, text_out: str)
     is done by built-in expressions and passes a null.
     """
     source = F.col(raw)
-    rare = maybe_not_nfc(source) | source.rlike(_OTHER_ENTITY)
+    rare = maybe_not_nfc(source) | (source.contains("&") & source.rlike(_OTHER_ENTITY))
     df = df.withColumn("_rare", _rare_batch(F.when(rare, source)))
     df = df.withColumn("_native", F.when(F.col("_rare.visible").isNull(), visible(source)))
     df = df.withColumn("_stripped", drop_markup(F.col("_native")))

@@ -40,12 +40,14 @@ BLANK_CLASS = (
     "\\t\\n\\x0B\\f\\r\\x1C-\\x1F \\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000"
 )
 
-# Texts without any of these are already NFC: Latin up to U+02FF, Thai and general punctuation compose no further.
+# Texts without any of these are already NFC: Latin up to U+02FF, Thai, general punctuation and the blanks and brackets
+# U+3000 to U+3029 compose no further.
 # Thai vowel signs and tone marks still need canonical ordering when they come in the wrong order.
-_MAYBE_NOT_NFC = "[\\u0300-\\u0DFF\\u0E80-\\u2001\\u205F-\\x{10FFFF}]"
+_MAYBE_NOT_NFC = "[\\u0300-\\u0DFF\\u0E80-\\u2001\\u205F-\\u2FFF\\u302A-\\x{10FFFF}]"
 _THAI_BELOW = "[\\u0E38-\\u0E3A]"
+_TO_CHECK = f"[{_MAYBE_NOT_NFC[1:-1]}{_THAI_BELOW[1:-1]}]"
+_WORD = "\\p{L}\\p{M}\\p{N}"
 _THAI_DISORDER = "[\\u0E48-\\u0E4B][\\u0E38-\\u0E3A]|[\\u0E38\\u0E39]\\u0E3A"
-_INVISIBLE = "[\\r\\xA0\\u200B-\\u200D]"
 
 
 @F.pandas_udf(StringType())
@@ -71,7 +73,8 @@ def unescape(text: Column) -> Column:
 
 
 def maybe_not_nfc(text: Column) -> Column:
-    return text.rlike(_MAYBE_NOT_NFC) | (text.rlike(_THAI_BELOW) & text.rlike(_THAI_DISORDER))
+    """One scan for most texts; only those it stops at are looked at again."""
+    return text.rlike(_TO_CHECK) & (text.rlike(_MAYBE_NOT_NFC) | text.rlike(_THAI_DISORDER))
 
 
 def nfc(text: Column) -> Column:
@@ -85,10 +88,11 @@ def nfc(text: Column) -> Column:
 
 def visible(text: Column) -> Column:
     """No-break spaces to spaces, zero-width characters dropped, every line end a line feed."""
-    replaced = F.translate(text, NBSP + ZERO_WIDTH, " ")
+    replaced = F.replace(text, F.lit(NBSP), F.lit(" "))
+    for char in ZERO_WIDTH:
+        replaced = F.replace(replaced, F.lit(char), F.lit(""))
     replaced = F.replace(replaced, F.lit("\r\n"), F.lit("\n"))
-    replaced = F.replace(replaced, F.lit("\r"), F.lit("\n"))
-    return F.when(text.rlike(_INVISIBLE), replaced).otherwise(text)
+    return F.replace(replaced, F.lit("\r"), F.lit("\n"))
 
 
 def normalize_unicode(text: Column) -> Column:
@@ -100,9 +104,9 @@ def normalize_whitespace(text: Column) -> Column:
 
     A blank run before a line feed needs no rule of its own: the first step already leaves one space there.
     """
-    runs = text.contains("  ") | text.contains("\t")
-    text = F.when(runs, F.regexp_replace(text, "[ \\t]{2,}|\\t", " ")).otherwise(text)
-    return strip(F.regexp_replace(text, "\\n{3,}", "\n\n"))
+    plain = F.replace(text, F.lit("\t"), F.lit(" "))
+    text = F.when(plain.contains("  "), F.regexp_replace(plain, " {2,}", " ")).otherwise(plain)
+    return strip(F.when(text.contains("\n\n\n"), F.regexp_replace(text, "\\n{3,}", "\n\n")).otherwise(text))
 
 
 def checksum(text: Column) -> Column:
@@ -125,9 +129,9 @@ def language_gate(ratio: Column, code: str = "th", gate: float = THAI_GATE) -> C
 
 
 def word_count(text: Column) -> Column:
-    """Runs of letters, marks and digits. Each run becomes one ``w``; everything else is then dropped."""
-    runs = F.regexp_replace(text, "[\\p{L}\\p{M}\\p{N}]+", "w")
-    return F.length(F.regexp_replace(runs, "[^w]+", "")).cast("long")
+    """Runs of letters, marks and digits. Each run with what surrounds it becomes one ``w``; a text without any stays."""
+    runs = F.regexp_replace(text, f"[^{_WORD}]*+[{_WORD}]++[^{_WORD}]*+", "w")
+    return F.when(runs.startswith("w"), F.length(runs)).otherwise(F.when(text.isNotNull(), 0)).cast("long")
 
 
 def char_count(text: Column) -> Column:

@@ -13,7 +13,7 @@ from ..operators import clean as cleaning
 from ..operators import enrich, ingest, quality, validate
 from ..operators.clean import CleanConfig
 from ..operators.language import identify_joined, language_of, sendable
-from ..session import materialize
+from ..session import materialize, staged
 
 # What prepare() reads; columns a source does not have may be null.
 RECORD_COLUMNS = [
@@ -71,15 +71,6 @@ class Outputs:
         }
 
 
-def _staged(df: DataFrame, stage: str | None, name: str) -> DataFrame:
-    """Write the step to the stage folder and read it back; later steps then read only the columns they need."""
-    if stage is None:
-        return df
-    path = f"{stage.rstrip('/')}/{name}"
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def prepare(
     records: DataFrame,
     url_map: DataFrame,
@@ -105,7 +96,7 @@ def prepare(
     named = cleaning.name_records(records, stage_paths(F.col("file_path")).stem)
     with_meta = cleaning.collect_metadata(named, "text").drop("source_id")
     measured = cleaning.measure(cleaning.clean_text(with_meta), rules)
-    measured = _staged(measured.withColumn("processed_at", run_at), stage, "measured")
+    measured = staged(measured.withColumn("processed_at", run_at), stage, "measured")
     if profiles is not None:
         rows = sendable(profiles)
         if rows is not None:
@@ -118,7 +109,7 @@ def prepare(
             found = found.withColumnRenamed("language", "_detected")
             measured = measured.join(found, "id", "left").withColumn("language", F.coalesce("language", "_detected"))
             measured = measured.drop("_detected")
-        measured = _staged(measured, stage, "languages")
+        measured = staged(measured, stage, "languages")
     measured = measured.withColumn("language", F.coalesce("language", F.lit("und")))
 
     cleaned = cleaning.verdict(measured, rules)
@@ -129,7 +120,7 @@ def prepare(
         config.allowed_status,
         config.min_valid_chars,
     )
-    checked = _staged(checked, stage, "checked")
+    checked = staged(checked, stage, "checked")
     if stage is not None:
         # The cleaned rows are in the stored step: their duplicates are not looked for again by whoever reads them.
         passed = F.col("clean_reason") == ""
@@ -141,7 +132,7 @@ def prepare(
 
     accepted = checked.filter("reason IS NULL")
     mapped = enrich.map_metadata(accepted, url_map, ["id"], config.prefer_csv)
-    mapped = _staged(mapped, stage if keep_mapped else None, "mapped")
+    mapped = staged(mapped, stage if keep_mapped else None, "mapped")
     located = enrich.resolve_dataset(mapped, datasets, "file_path", ["id"])
     position = F.format_string("%s\u0001%012d", F.col("file_path"), F.col("line_no"))
     batch = ingest.with_defaults(located.withColumn("_position", position))

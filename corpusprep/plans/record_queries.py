@@ -31,6 +31,13 @@ CORPUS = CleanConfig(
     min_chars=10, min_ratio=0.5, script=LATIN, script_language="latin", scope=(), order="doc_id"
 )
 RUN_AT = "2024-02-01T07:00:00+07:00"
+JUDGED = ["doc_id", "char_count", "script_ratio", "checksum"]
+LOGGED = [*JUDGED, "steps", "original_chars"]
+
+
+def cleaned(t: Tables, rows: DataFrame, keep: list[str]) -> DataFrame:
+    """Rows of the corpus cleaned once: only narrow measured columns are stored and looked through for duplicates."""
+    return clean.clean(rows, CORPUS, work_path(t.spark, "clean"), keep)
 
 
 def sql_clean(raw: str = "text", extra: str = "source, lang", table: str = "documents") -> str:
@@ -75,7 +82,8 @@ def derive_filename(t: Tables) -> DataFrame:
 
 @query("clean_status", f"WITH {sql_clean()} SELECT doc_id, status, reason, checksum, char_count FROM cleaned")
 def clean_status(t: Tables) -> DataFrame:
-    return clean.clean(t.spread("documents", "doc_id"), CORPUS).select("doc_id", "status", "reason", "checksum", "char_count")
+    rows = cleaned(t, t.spread("documents", "doc_id"), JUDGED)
+    return rows.select("doc_id", "status", "reason", "checksum", "char_count")
 
 
 @query(
@@ -110,7 +118,7 @@ def exact_dedup(t: Tables) -> DataFrame:
 def clean_audit_log(t: Tables) -> DataFrame:
     """The ratio inside the final details is left out here: engines print doubles differently."""
     dirty = dirty_documents(t)
-    log = clean.clean_log(clean.clean(dirty, CORPUS), F.lit(RUN_AT), "doc_id")
+    log = clean.clean_log(cleaned(t, dirty, LOGGED), F.lit(RUN_AT), "doc_id")
     final = F.concat(
         F.get_json_object("details", "$.char_count"), F.lit("|"), F.get_json_object("details", "$.reason")
     )
@@ -192,7 +200,7 @@ def validate_records(t: Tables) -> DataFrame:
     """,
 )
 def run_counters(t: Tables) -> DataFrame:
-    return quality.clean_counters(clean.clean(t.spread("documents", "doc_id"), CORPUS), ["source"])
+    return quality.clean_counters(cleaned(t, t.spread("documents", "doc_id"), [*JUDGED, "source"]), ["source"])
 
 
 @query(
@@ -208,7 +216,7 @@ def run_counters(t: Tables) -> DataFrame:
 def reject_reasons(t: Tables) -> DataFrame:
     at = F.lit(RUN_AT)
     logs = ingest.union_logs(
-        clean.clean_log(clean.clean(t.spread("documents", "doc_id"), CORPUS), at, "doc_id"),
+        clean.clean_log(cleaned(t, t.spread("documents", "doc_id"), LOGGED), at, "doc_id"),
         validate.validation_log(validate.validate(faulty_records(t), [], "doc_id", min_chars=12), at, "doc_id"),
     )
     cleaned_reason = F.get_json_object("details", "$.reason")

@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from corpusprep.functions import text
 from corpusprep.functions.keys import object_key, stage_paths
 from corpusprep.operators import chat, enrich, language
 from corpusprep.plans import registry
@@ -108,3 +109,19 @@ def test_lang_id_ranks_a_texts_own_grams(spark, tmp_path):
     got = registry.queries()["lang_id"](spark, str(tmp_path))
     want = _ranked_by_hand(language.language_profiles(docs, "lang", "text"), language.TOP)
     assert {r.doc_id: (r.language, r.distance) for r in got.collect()} == want
+
+
+def test_logs_clean_every_text_once_and_without_python(spark, tmp_path):
+    rows = [(1, "some words of a text", "en", "a"), (2, "some words of a text", "en", "b"), (3, None, None, None), (None, "x" * 20, "en", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    log = registry.queries()["clean_audit_log"](spark, str(tmp_path))
+    plan = log._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" not in plan and "documents.parquet" not in plan
+    final = {r.target_id: r.details for r in log.filter("step = 'finalize_cleaned'").collect()}
+    assert final["1"].endswith("|") and final["2"].endswith("|dup_exact") and "too_short" in final["3"]
+
+
+def test_ideographic_blanks_need_no_composition(values):
+    texts = ["　 a、b。", "が", "é", "กู่", "กู่", None]
+    assert values(texts, text.maybe_not_nfc) == [False, True, True, False, True, None]
