@@ -172,7 +172,7 @@ def ingest_files(
     # Characters that a path pattern would interpret are escaped: these are names of files, not patterns.
     names = [re.sub(r"([\[\]{}*?\\])", r"\\\1", listed[k]) for k in chosen]
     lines = jsonl.read_lines(spark, names, "*", how.limit)
-    good, rejected = jsonl.split_parsed(lines)
+    good, rejected = jsonl.split_parsed(lines, work_path(spark, f"parsed-{run}"))
     rejected = materialize(rejected.withColumn("file_path", object_key(F.col("file_path"), how.root)))
     out = prepare(
         jsonl.raw_records(good),

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import BLANKS, checksum, strip
 from ..operators.keyed import measured_lookup
-from ..session import work_path
+from ..session import staged, work_path
 
 
 def scan_lines(spark: SparkSession, path: str | list[str], glob: str = "*.jsonl") -> DataFrame:
@@ -68,21 +70,33 @@ def first_key(keys: DataFrame, forced: str | None = None) -> DataFrame:
     return keys.orderBy("file_path").limit(1)
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, wherever the whole is copied to: a filter would repeat it per use."""
+    return F.transform(F.array(value), use)[0]
+
+
 def json_value(line: Column) -> Column:
     """The line as a variant, null when it is not exactly one JSON value.
 
     The parser alone accepts text after the first value. So the line becomes the first of two items, the second being
     its own hash: a line that closes the list itself, or holds a second value, would have to contain its hash.
     """
-    line = F.btrim(line, F.lit(BLANKS))
-    digest = F.sha2(line, 256)
-    wrapped = F.try_parse_json(F.concat(F.lit("["), line, F.lit(',"'), digest, F.lit('"]')))
-    single = (
-        F.variant_get(wrapped, "$[0]", "variant").isNotNull()
-        & (F.try_variant_get(wrapped, "$[1]", "string") == digest)
-        & F.variant_get(wrapped, "$[2]", "variant").isNull()
-    )
-    return F.when(single, F.variant_get(wrapped, "$[0]", "variant"))
+
+    def only(wrapped: Column, digest: Column) -> Column:
+        single = (
+            F.variant_get(wrapped, "$[0]", "variant").isNotNull()
+            & (F.try_variant_get(wrapped, "$[1]", "string") == digest)
+            & F.variant_get(wrapped, "$[2]", "variant").isNull()
+        )
+        return F.when(single, F.variant_get(wrapped, "$[0]", "variant"))
+
+    def parsed(text: Column, digest: Column) -> Column:
+        return F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), digest, F.lit('"]')))
+
+    def hashed(text: Column) -> Column:
+        return _once(F.sha2(text, 256), lambda digest: _once(parsed(text, digest), lambda wrapped: only(wrapped, digest)))
+
+    return _once(F.btrim(line, F.lit(BLANKS)), hashed)
 
 
 def field(value: Column, name: str) -> Column:
@@ -96,19 +110,28 @@ def kind(value: Column, name: str | None = None) -> Column:
     return F.regexp_extract(F.schema_of_variant(part), "^[A-Z]+", 0)
 
 
-def split_parsed(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_parsed(lines: DataFrame, stage: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Good rows with their parsed ``record``, and quarantined rows with a ``reason``.
 
-    A line that parses but is no object, or whose text is no string, is rejected too.
+    A line that parses but is no object, or whose text is no string, is rejected too. ``stage`` is a folder where the
+    parsed lines are written once: whoever reads both parts parses every line once.
     """
-    parsed = lines.withColumn("record", json_value(F.col("value")))
-    text_kind = kind(F.col("record"), "text")
-    reason = (
-        F.when(F.col("record").isNull(), "json_error")
-        .when(kind(F.col("record")) != "OBJECT", "type:not_object")
-        .when(text_kind.isNotNull() & ~text_kind.isin("STRING", "VOID"), "text:not_string")
-    )
-    parsed = parsed.withColumn("reason", reason)
+
+    def judged(record: Column) -> Column:
+        text_kind = kind(record, "text")
+        reason = (
+            F.when(record.isNull(), "json_error")
+            .when(kind(record) != "OBJECT", "type:not_object")
+            .when(text_kind.isNotNull() & ~text_kind.isin("STRING", "VOID"), "text:not_string")
+        )
+        return F.struct(record.alias("record"), reason.alias("reason"))
+
+    both = lines.withColumn("_parsed", _once(json_value(F.col("value")), judged))
+    parsed = both.select(*lines.columns, "_parsed.record", "_parsed.reason")
+    if stage is not None:
+        # The text of a good line is in its record.
+        rejected = F.when(F.col("reason").isNotNull(), F.col("value"))
+        parsed = staged(parsed.withColumn("value", rejected), stage, "parsed")
     good = parsed.filter("reason IS NULL").drop("reason", "value")
     return good, parsed.filter("reason IS NOT NULL").drop("record")
 

@@ -125,3 +125,17 @@ def test_logs_clean_every_text_once_and_without_python(spark, tmp_path):
 def test_ideographic_blanks_need_no_composition(values):
     texts = ["　 a、b。", "が", "é", "กู่", "กู่", None]
     assert values(texts, text.maybe_not_nfc) == [False, True, True, False, True, None]
+
+
+def test_lines_are_parsed_once(spark, tmp_path):
+    rows = [("a", 1, '{"text": "x"}'), ("a", 2, '{"text": 1}'), ("a", 3, "no"), ("a", 4, '{"text": "y"} 2'), ("a", 5, None), ("a", 6, "[1]")]
+    lines = spark.createDataFrame(rows, "file_path string, line_no long, value string")
+    for stage in (None, str(tmp_path / "stage")):
+        good, bad = jsonl.split_parsed(lines, stage)
+        raw = jsonl.raw_records(good)
+        assert [(r.line_no, r.text) for r in raw.collect()] == [(1, "x")]
+        want = {2: ("text:not_string", rows[1][2]), 3: ("json_error", "no"), 4: ("json_error", rows[3][2]), 5: ("json_error", None), 6: ("type:not_object", "[1]")}
+        assert {r.line_no: (r.reason, r.value) for r in bad.collect()} == want
+        plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in (raw, bad)]
+        # Unstored: in the filter and in the projection above it.
+        assert max(p.count("parse_json") + p.count("parseJson") for p in plans) <= (0 if stage else 2)
