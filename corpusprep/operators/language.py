@@ -74,7 +74,7 @@ def _best(df: DataFrame, row_id: str, shared: DataFrame, gain: Column, size: Dat
     """``row_id, language, distance`` from grams with their ``langs`` and the greatest distance ``_most`` of every text."""
     one = shared.withColumn("_l", F.explode_outer("langs"))
     sums = one.groupBy(row_id, F.col("_l.lang").alias("lang")).agg(F.sum(gain).alias("gain"))
-    known = F.when(F.col("lang").isNotNull(), F.struct("gain", "lang"))
+    known = F.when(F.col("gain").isNotNull(), F.struct("gain", "lang"))
     best = sums.groupBy(row_id).agg(F.max(known).alias("_top"))
     distance = F.col("_most") - F.col("_top.gain")
     return df.select(row_id).join(best.join(size, row_id), row_id, "left").select(
@@ -104,12 +104,17 @@ def _gram_ids(codes: np.ndarray) -> np.ndarray:
     return wide[:-2] << 42 | wide[1:-1] << 21 | wide[2:]
 
 
+def _languages(rows: list[tuple[str, str, int]]) -> list[str | None]:
+    """Languages of the profiles, of which the first with the greatest sum is taken: greater names first, null last."""
+    return sorted({r[0] for r in rows}, key=lambda lang: (lang is not None, lang or ""), reverse=True)
+
+
 def _scorer(rows: list[tuple[str, str, int]], top: int):
     """``struct<language, distance>`` of padded texts, null for a null text. ``rows`` are the profiles (lang, gram, gain).
 
     The weights of all languages are one table by gram; a batch is looked up some 2^20 positions at a time.
     """
-    langs = sorted({r[0] for r in rows}, reverse=True)  # of equal sums the first, the greater name, is taken
+    langs = _languages(rows)
     ids = _gram_ids(_codes([r[1] for r in rows])[0])[::SIZE] if rows else np.zeros(0, np.int64)
     grams, at = np.unique(ids, return_inverse=True)
     weights = np.zeros((len(grams) + 1, max(len(langs), 1)), np.int64)  # the last row: a gram no profile has
@@ -132,12 +137,13 @@ def _scorer(rows: list[tuple[str, str, int]], top: int):
             k = np.where(grams[k] == found, k, len(grams))
             edges = np.flatnonzero(np.diff(row, prepend=-1))
             sums[row[edges]] += np.add.reduceat(weights[k], edges, axis=0)
+        names = ["und" if lang is None else lang for lang in langs]
         sizes = np.maximum(np.diff(starts) - SIZE + 1, 0)
         best = sums.argmax(axis=1)
         most = sums[np.arange(len(given)), best]
         return pd.DataFrame(
             {
-                "language": [None if t is None else langs[b] if m else "und" for t, b, m in zip(texts, best, most)],
+                "language": [None if t is None else names[b] if m else "und" for t, b, m in zip(texts, best, most)],
                 "distance": pd.array([int(top * n - m) if m else None for n, m in zip(sizes, most)], "Int64"),
             }
         )
@@ -147,7 +153,7 @@ def _scorer(rows: list[tuple[str, str, int]], top: int):
 
 def _ranker(rows: list[tuple[str, str, int]], top: int):
     """``struct<language, distance>`` of padded texts by the ranks of their grams. ``rows`` are as in :func:`_scorer`."""
-    langs = sorted({r[0] for r in rows}, reverse=True)
+    langs = _languages(rows)
     ids = _gram_ids(_codes([r[1] for r in rows])[0])[::SIZE] if rows else np.zeros(0, np.int64)
     grams, at = np.unique(ids, return_inverse=True)
     ranks = np.zeros((len(grams) + 1, max(len(langs), 1)), np.int64)  # 0: the language's profile has no such gram
@@ -194,10 +200,11 @@ def _ranker(rows: list[tuple[str, str, int]], top: int):
             end = max(start + 1, int(np.searchsorted(ends, before + CHUNK, side="right")))
             parts.append(judged(given[start:end]))
             start = end
+        names = ["und" if lang is None else lang for lang in langs]
         best, gain, most = (np.concatenate(p) for p in zip(*parts)) if parts else (np.zeros(0, np.int64),) * 3
         return pd.DataFrame(
             {
-                "language": [None if t is None else langs[b] if g else "und" for t, b, g in zip(texts, best, gain)],
+                "language": [None if t is None else names[b] if g else "und" for t, b, g in zip(texts, best, gain)],
                 "distance": pd.array([int(m - g) if g else None for g, m in zip(gain, most)], "Int64"),
             }
         )

@@ -81,13 +81,14 @@ def _ranked_by_hand(profiles, top):
             shared = [missing - abs(rank - known[g]) for rank, g in enumerate(order, 1) if g in known]
             if shared:
                 gains[lang] = sum(shared)
-        best = max(gains, key=lambda x: (gains[x], x), default=None)
-        want[i] = (best or "und", missing * len(order) - gains[best] if best else None)
+        best = max(gains, key=lambda x: (gains[x], x is not None, x or ""), default="")
+        want[i] = (best or "und", missing * len(order) - gains[best] if gains else None)
     return want
 
 
 def test_all_grams_of_a_text_are_ranked(spark, monkeypatch):
     train = [("en", "the cat and the hat"), ("de", "der hund und das haus"), ("fr", "le chat et la maison \U0001d4d0\U0001d4d1")]
+    train.append((None, "xyz " + train[0][1]))
     profiles = language.language_profiles(spark.createDataFrame(train, "lang string, text string"), "lang", "text", 20)
     df = spark.createDataFrame(list(enumerate(TEXTS)), "i int, text string")
     want = _ranked_by_hand(profiles, 20)
@@ -102,7 +103,7 @@ def test_all_grams_of_a_text_are_ranked(spark, monkeypatch):
 
 
 def test_lang_id_ranks_a_texts_own_grams(spark, tmp_path):
-    langs = ["en", "de", "fr"]
+    langs = ["en", "de", None]
     rows = [(i, t, langs[i % 3]) for i, t in enumerate(TEXTS)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     docs.write.parquet(str(tmp_path / "documents.parquet"))
