@@ -181,3 +181,85 @@ def test_parities_bound_the_difference_of_sets():
             assert bound == differing(parities(more), parities(base)) <= len(np.setxor1d(base, more))
     wide = rng.integers(0, 2**63, 2000).astype(np.uint64)
     assert differing(parities(wide[:1000]), parities(wide[1000:])) > 500 and differing(parities(wide), parities(wide)) == 0
+
+
+def test_similar_lines_are_those_of_few_edits(spark):
+    from corpusprep.llm.line_dedup import LineDedup, similar
+    from pyspark.sql import functions as F
+
+    rng = random.Random(11)
+
+    def text(n):
+        return "".join(rng.choice("abcdefgh é") for _ in range(n))
+
+    def edited(line, edits):
+        for _ in range(edits):
+            at, kind = rng.randrange(len(line) + 1), rng.randrange(4)
+            line = line[:at] + (text(rng.randrange(1, 9)) if kind else "") + line[at + rng.randrange(1, 9) * (kind != 1) :]
+        return line
+
+    pairs = [("", ""), ("a", ""), ("same", "same"), ("x" * 3000, "x" * 2700), ("x" * 3000, "x" * 2699), ("ab" * 1500, "ba" * 1500)]
+    for n in (1, 9, 10, 11, 40, 200, 700, 2500):
+        line = text(n)
+        pairs += [(line, text(n)), (line, line[: n // 2] + text(n - n // 2)), (line, text(max(1, n // 8)) + line)]
+        pairs += [(line, edited(line, e)) for e in sorted({1, 2, n // 60, n // 30, n // 20})]
+    for how in (LineDedup(), LineDedup(similarity=0.7), LineDedup(similarity=1.0)):
+        rows = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, a string, b string")
+        most = F.floor(F.greatest(F.length("a"), F.length("b")) * (1 - how.similarity) + 1e-9).cast("int")
+        plain = (F.levenshtein("a", "b") <= most).alias("plain")
+        got = rows.select("i", similar(F.col("a"), F.col("b"), how).alias("got"), plain).collect()
+        assert [r.got for r in got] == [r.plain for r in got]
+        assert len({r.got for r in got}) == 2
+
+
+def test_line_dedup_leaves_only_what_its_result_reads(docs, spark, tmp_path, monkeypatch):
+    from corpusprep.llm import common
+
+    monkeypatch.setattr(common, "work_path", lambda spark, name: str(tmp_path / f"{name}-{len(list(tmp_path.iterdir()))}"))
+    rng = random.Random(2)
+    base = [" ".join(f"w{rng.randrange(900)}" for _ in range(30)) for _ in range(60)]
+    near = [line.replace("w1", "v1", 1) for line in base]
+    result = line_dedup(docs(["\n".join(base), "\n".join(near), "\n".join(base[:30])]))
+    left = {p.name.rpartition("-")[0] for p in tmp_path.iterdir()}
+    assert "line-cuts" in left and not left & {"lines", "line-texts", "line-classes", "line-lists", "line-open-lists", "line-marked-lists"}
+    assert sorted(r.n_removed for r in result.collect()) == [0, 30, 60]
+
+
+def test_shuffles_of_stored_results_are_gone(spark):
+    import os
+
+    def files():
+        tops = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs())
+        return {f for top in tops for _, _, names in os.walk(top.getPath()) for f in names if f.startswith("shuffle_") and f.endswith(".data")}
+
+    before = files()
+    got = stored(spark.range(1000).selectExpr("id % 7 as k").groupBy("k").count(), "counts")
+    assert not files() - before
+    assert sorted(r["count"] for r in got.collect()) == [142] + [143] * 6
+
+
+def test_members_that_fit_no_length_leave_their_list(spark):
+    from corpusprep.llm import line_dedup as module
+
+    shared = "this passage of words is the same in every one of the lines here"
+    lines = [(1, f"{shared}"), (2, f"{shared} x"), (3, shared + " y" * 400)]
+    schema = "class long, size int, joined string, fuzzy boolean, first struct<doc_id:long>"
+    classes = spark.createDataFrame([(c, len(t), t, True, (1,)) for c, t in lines], schema)
+    got = {(r["class"], r.hub) for r in module._lists(classes, LineDedup()).collect()}
+    assert {c for c, _ in got} >= {1, 2}
+    alone = module._lists(classes.filter("class <> 2"), LineDedup()).collect()
+    assert alone == []
+
+
+def test_marks_count_common_lists(spark):
+    from corpusprep.llm import line_dedup as module
+    from pyspark.sql import functions as F
+
+    def key(at, value):
+        return int(np.uint64((at << 60) | value).view(np.int64))
+
+    rows = [(key(at, v), c) for c, lists in enumerate([{0: 5, 7: 255, 8: 0, 15: 9}, {0: 5, 7: 254, 8: 0, 15: 9}, {1: 5}, {0: 6, 8: 0}]) for at, v in lists.items()]
+    marked = module._marked(spark.createDataFrame(rows, "key long, class long")).drop("key").distinct()
+    pairs = marked.crossJoin(marked.select([F.col(c).alias(f"{c}_2") for c in marked.columns]))
+    got = {(r[0], r[1]): r[2] for r in pairs.select("class", "class_2", module._lists_in_common()).collect()}
+    assert [got[0, 1], got[0, 2], got[0, 3], got[1, 3], got[2, 2], got[0, 0]] == [3, 0, 1, 1, 1, 4]
