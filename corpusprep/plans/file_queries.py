@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import metadata
 from ..functions.keys import object_key
 from ..operators.clean import CleanConfig
-from ..session import work_path
+from ..session import shuffles_removed, work_path
 from ..sources import jsonl
 from ..sources.runs import RunTables
 from .files_run import COUNTERS, DOCUMENTS, FilesRun, run_files
@@ -43,7 +43,8 @@ def raw_objects(t: Tables, root: str, drop) -> None:
     lines = F.array_compact(F.array(first, record))
     rows = t.documents.filter(drop).repartition("source").sortWithinPartitions("source", "doc_id")
     rows = rows.select(F.explode(lines).alias("value"), "source")
-    rows.write.mode("append").partitionBy("source").text(f"{root}/raw")
+    with shuffles_removed(t.spark):
+        rows.write.mode("append").partitionBy("source").text(f"{root}/raw")
 
 
 def run_tables(t: Tables) -> RunTables:

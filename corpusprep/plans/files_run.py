@@ -18,7 +18,7 @@ from ..operators import clean as cleaning
 from ..operators import ingest, labels
 from ..operators.clean import CLEANER, CleanConfig
 from ..operators.keyed import outer_merge
-from ..session import materialize, work_path
+from ..session import materialize, put, remove, work_path
 from ..sources import jsonl
 from ..sources.runs import RunTables
 from ..streaming.files import run_to_end
@@ -171,9 +171,32 @@ def ingest_files(
 
     # Characters that a path pattern would interpret are escaped: these are names of files, not patterns.
     names = [re.sub(r"([\[\]{}*?\\])", r"\\\1", listed[k]) for k in chosen]
-    lines = jsonl.read_lines(spark, names, "*", how.limit)
-    good, rejected = jsonl.split_parsed(lines, work_path(spark, f"parsed-{run}"))
+    scratch = work_path(spark, f"scratch-{run}")
+    try:
+        return _ingest(spark, tables, run, names, strays, scratch, how, url_map, datasets, run_at, headers)
+    finally:
+        remove(spark, scratch)
+
+
+def _ingest(
+    spark: SparkSession,
+    tables: RunTables,
+    run: str,
+    names: list[str],
+    strays: DataFrame,
+    scratch: str,
+    how: FilesRun,
+    url_map: DataFrame,
+    datasets: DataFrame,
+    run_at: Column,
+    headers: list[str] | None,
+) -> bool:
+    """Prepare and publish the named files; copies of their texts in ``scratch`` go as soon as the next step holds them."""
+    copy, parsed, documents_copy = (f"{scratch}/{part}" for part in ("lines", "parsed", "documents"))
+    lines = jsonl.read_lines(spark, names, "*", how.limit, copy)
+    good, rejected = jsonl.split_parsed(lines, parsed)
     rejected = materialize(rejected.withColumn("file_path", object_key(F.col("file_path"), how.root)))
+    remove(spark, copy)
     out = prepare(
         jsonl.raw_records(good),
         url_map,
@@ -181,32 +204,38 @@ def ingest_files(
         datasets,
         run_at,
         PrepareConfig(root=how.root, clean=how.rules, prefer_csv=how.prefer_csv),
-        stage=work_path(spark, f"stage-{run}"),
+        stage=f"{scratch}/stage",
         headers=headers,
         keep_mapped=True,
     )
-    # The new rows are stored once; counters and labels read them there.
+    remove(spark, parsed)
+    # The new rows are stored once, as the run's table; counters and labels read them there. A table without texts is no
+    # place to read them for labels.
     documents = _documents(out, how, run_at)
-    path = work_path(spark, f"documents-{run}")
-    documents.write.parquet(path)
-    documents = spark.read.schema(documents.schema).parquet(path)
+    if not how.content:
+        put(documents, documents_copy)
+        documents = spark.read.schema(documents.schema).parquet(documents_copy)
     broken = cleaning.quarantine_log(rejected, "validate_input", CLEANER, run_at)
     written = {
         "documents": documents if how.content else documents.withColumn("content", F.lit(None).cast("string")),
         "stages": _stage_records(out, how),
         "logs": ingest.log_table(ingest.union_logs(out.logs, broken)),
         "quarantine": rejected.select(F.col("file_path").alias("object_path"), "line_no", "value", "reason").unionByName(strays),
-        "counters": _counters(out, rejected, documents).unionByName(_stray_counters(strays)),
+        "counters": lambda read: _counters(out, rejected, read("documents")).unionByName(_stray_counters(strays)),
     }
     if how.scorer is not None:
-        scored = labels.label_texts(documents.select("id", F.col("content").alias("text")), how.scorer)
-        written["labels"] = scored.select(
-            F.col("id").alias("target_id"), F.lit("sentiment").alias("label_type"), F.col("label").alias("label_value"),
-            "confidence", F.lit(how.annotator).alias("annotator"), run_at.alias("created_at"),
-        )
+        written["labels"] = lambda read: _labels(read("documents") if how.content else documents, how, run_at)
     return tables.commit(run, written)
 
 
+def _labels(documents: DataFrame, how: FilesRun, run_at: Column) -> DataFrame:
+    scored = labels.label_texts(documents.select("id", F.col("content").alias("text")), how.scorer)
+    return scored.select(
+        F.col("id").alias("target_id"), F.lit("sentiment").alias("label_type"), F.col("label").alias("label_value"),
+        "confidence", F.lit(how.annotator).alias("annotator"), run_at.alias("created_at"),
+    )
+
+
 def _stray_counters(strays: DataFrame) -> DataFrame:
     """Quarantined objects count as seen: a row of zeros each."""
     names = [c.split()[0] for c in COUNTERS.split(", ")][1:]

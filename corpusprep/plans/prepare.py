@@ -13,7 +13,7 @@ from ..operators import clean as cleaning
 from ..operators import enrich, ingest, quality, validate
 from ..operators.clean import CleanConfig
 from ..operators.language import identify_joined, language_of, sendable
-from ..session import materialize, staged
+from ..session import materialize, remove, staged
 
 # What prepare() reads; columns a source does not have may be null.
 RECORD_COLUMNS = [
@@ -85,7 +85,7 @@ def prepare(
 ) -> Outputs:
     """Clean, validate, map and keep what is new.
 
-    ``stage`` is a folder for the wide intermediate tables; ``keep_mapped`` also stores the mapped rows there, for
+    ``stage`` is a folder for the wide intermediate tables, of which those that a later one holds are deleted; ``keep_mapped`` also stores the mapped rows there, for
     callers that read several outputs. Duplicate checks read a step twice (once narrow for
     the keys, once whole), so at scale give a folder: the text is then cleaned once. ``profiles`` turns on language
     identification for texts the script ratio leaves open. ``headers`` comes from the side table's reader.
@@ -122,6 +122,8 @@ def prepare(
     )
     checked = staged(checked, stage, "checked")
     if stage is not None:
+        # The checked rows hold all of the steps before.
+        remove(records.sparkSession, *[f"{stage.rstrip('/')}/{name}" for name in ("measured", "languages")])
         # The cleaned rows are in the stored step: their duplicates are not looked for again by whoever reads them.
         passed = F.col("clean_reason") == ""
         cleaned = (

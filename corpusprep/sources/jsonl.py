@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import BLANKS, checksum, strip
 from ..operators.keyed import measured_lookup
-from ..session import staged, work_path
+from ..session import put, staged, work_path
 
 
 def scan_lines(spark: SparkSession, path: str | list[str], glob: str = "*.jsonl") -> DataFrame:
@@ -28,7 +28,7 @@ def scan_lines(spark: SparkSession, path: str | list[str], glob: str = "*.jsonl"
 
 
 def read_lines(
-    spark: SparkSession, path: str | list[str], glob: str = "*.jsonl", limit: int | None = None
+    spark: SparkSession, path: str | list[str], glob: str = "*.jsonl", limit: int | None = None, copy: str | None = None
 ) -> DataFrame:
     """``file_path, line_no, value`` with 1-based physical line numbers; blank and broken lines count too.
 
@@ -36,10 +36,10 @@ def read_lines(
     All else is computed from that copy, so numbers do not depend on how a later job would plan its splits. A narrow
     pass counts the lines of every split (no text is shuffled, one big file is counted by many tasks); the counts, one
     row per split, are joined back, and a line whose split has no count is an error. ``limit`` keeps the first lines of
-    each file, ``None`` or 0 keeps all.
+    each file, ``None`` or 0 keeps all. ``copy`` names the folder of that copy, for callers that delete it.
     """
-    scanned, copy = scan_lines(spark, path, glob), work_path(spark, "lines")
-    scanned.write.parquet(copy)
+    scanned, copy = scan_lines(spark, path, glob), copy or work_path(spark, "lines")
+    put(scanned, copy)
     lines = spark.read.schema(scanned.schema).parquet(copy)
     splits = lines.groupBy("file_path", "_block").agg(F.min("_seq").alias("_base"), F.count("*").alias("_lines"))
     before = Window.partitionBy("file_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)

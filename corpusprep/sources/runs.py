@@ -9,13 +9,17 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..session import put
 from .tables import read_optional
 
+#: Reads a table of the same run that is written already.
+Written = Callable[[str], DataFrame]
 _MANIFEST = "run string, tables string, replaces array<string>"
 
 
@@ -35,18 +39,25 @@ class RunTables:
     def runs(self) -> set[str]:
         return set(self._lines())
 
-    def commit(self, run: str, tables: dict[str, DataFrame], replaces: list[str] = ()) -> bool:
+    def commit(self, run: str, tables: dict[str, DataFrame | Callable[[Written], DataFrame]], replaces: list[str] = ()) -> bool:
         """Write the tables and publish them as one run; False, and nothing written, if the run is published already.
 
+        A table may be given as a function that is called when the tables before it are written: it gets a function that
+        reads one of them by name, so that a wide table need not be stored a second time for those computed from it.
         ``replaces`` names runs whose folders of these tables are not read any more.
         """
         if run in self.runs():
             return False
         attempt = uuid.uuid4().hex
-        paths = {}
-        for name, df in tables.items():
-            paths[name] = f"{self.root}/data/{name}/{run}-{attempt}"
-            df.write.parquet(paths[name])
+        paths, schemas = {}, {}
+
+        def written(name: str) -> DataFrame:
+            return self.spark.read.schema(schemas[name]).parquet(paths[name])
+
+        for name, table in tables.items():
+            df = table(written) if callable(table) else table
+            paths[name], schemas[name] = f"{self.root}/data/{name}/{run}-{attempt}", df.schema
+            put(df, paths[name])
         self._publish(run, paths, list(replaces))
         return True
 
