@@ -23,6 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import WIDE_ROWS
 from .common import encoded_words, in_slices, pieces, stored, summed_slices
 
 WAYS = 16
@@ -249,7 +250,7 @@ def lm_score(docs: DataFrame, held_out, how: LanguageModel = LanguageModel()) ->
         F.col("text").cast("string").alias("text"),
         F.coalesce(held_out, F.lit(False)).alias("held_out"),
     )
-    encoded = stored(asked.mapInArrow(_encode(how), _CHUNK), "lm-chunks")
+    encoded = stored(asked.mapInArrow(_encode(how), _CHUNK), "lm-chunks", WIDE_ROWS)
     chunks = encoded.filter("chunk is not null")
     table = _average(encoded.filter("slice is not null").select("slice", "block"), how)
     for _ in range(how.rounds - 1):

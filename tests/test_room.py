@@ -56,3 +56,15 @@ def test_a_table_of_a_run_is_computed_from_one_before_it(spark, tmp_path):
     rows = spark.createDataFrame([("x", 1), ("x", 2)], "k string, n long")
     assert tables.commit("1", {"a": rows, "b": lambda read: read("a").groupBy("k").agg(F.sum("n").alias("n"))})
     assert [tuple(r) for r in tables.read("b", "k string, n long").collect()] == [("x", 3)]
+
+
+def test_rows_of_many_bytes_are_few_in_a_row_group(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    rows = spark.range(40, numPartitions=1).select("id", F.transform(F.sequence(F.lit(1), F.lit(400_000)), lambda i: F.xxhash64("id", i)).alias("xs"))
+    session.put(rows, str(tmp_path / "wide"), options=session.WIDE_ROWS)
+    (file,) = (tmp_path / "wide").glob("*.parquet")
+    kept = pq.ParquetFile(file).metadata
+    # 3.2 MB a row: a hundred of them would be in one group if sizes were looked at every hundred rows.
+    assert max(kept.row_group(i).num_rows for i in range(kept.num_row_groups)) <= 8
+    assert spark.read.parquet(str(tmp_path / "wide")).agg(F.sum(F.size("xs"))).first()[0] == 40 * 400_000
